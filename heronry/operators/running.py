@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from heronry.functions.numbers import from_units, in_units
+from heronry.functions.numbers import exact_total, from_units, in_units
 from heronry.session import materialize
 
 # A key with more rows than this is cut into pieces that are summed in parallel.
@@ -22,13 +22,17 @@ def running_totals(
     value: str,
     scale: int = 2,
     piece_rows: int = PIECE_ROWS,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with ``running_sum`` and ``running_count`` up to and including each row of its key.
 
     ``order`` must be a total order within a key. Ordinary keys take one window. A hot key would
     put all its rows in one task, so its rows are range-partitioned by order into pieces; each
     piece is summed on its own and the totals of the earlier pieces are added.
+
+    ``earlier`` holds totals to start from, as :func:`key_totals` gives them.
     """
+    columns = df.columns
     df = df.withColumn(_UNITS, in_units(F.col(value), scale).cast("decimal(18,0)"))
     rows = df.count()
     piece_rows = max(piece_rows, -(-rows // MAX_PIECES))
@@ -51,7 +55,33 @@ def running_totals(
             totals = _within(df.join(few, is_hot, "left_anti"), [key], order).unionByName(
                 _in_pieces(df.join(few, is_hot, "left_semi"), key, order, int(pieces))
             )
-    return totals.withColumn("running_sum", from_units(F.col(_SUM), scale)).drop(_UNITS, _SUM)
+    if earlier is not None:
+        start = earlier.select(
+            F.col(key).alias("__start"), F.col("total_units"), F.col("total_count")
+        )
+        totals = totals.join(start, F.col(key).eqNullSafe(F.col("__start")), "left")
+        totals = totals.withColumn(_SUM, _plus(_SUM, "total_units")).withColumn(
+            _COUNT, _plus(_COUNT, "total_count")
+        )
+    return totals.select(*columns, from_units(F.col(_SUM), scale).alias("running_sum"), _COUNT)
+
+
+def key_totals(df: DataFrame, key: str, value: str, scale: int = 2) -> DataFrame:
+    """Total and count of each key, in the form :func:`running_totals` can start from."""
+    return df.groupBy(key).agg(
+        exact_total(F.col(value), scale).alias("total_units"),
+        F.count(value).alias("total_count"),
+    )
+
+
+def add_key_totals(totals: DataFrame, key: str) -> DataFrame:
+    """Add up totals of the same key."""
+    return totals.groupBy(key).agg(
+        *[
+            F.sum(c).cast(totals.schema[c].dataType).alias(c)
+            for c in ("total_units", "total_count")
+        ]
+    )
 
 
 def _within(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:

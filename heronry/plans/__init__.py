@@ -6,7 +6,7 @@ from importlib import import_module
 
 from heronry.plans.registry import ORACLES, QUERIES, Query
 
-MODULES = ("customers", "sales")
+MODULES = ("customers", "sales", "running", "streams")
 
 
 def _load() -> None:

@@ -1,0 +1,63 @@
+"""Keyed totals fed by micro-batches.
+
+Totals that only ever add up need no read-modify-write: each batch appends its own subtotals as
+one version, and a reader adds the versions. Writing a batch costs what the batch costs, however
+large the table is, and writing it again changes nothing. Now and then the versions are folded
+into one base, so a reader adds few of them.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from heronry.sinks.versions import committed, write_version
+
+FOLD_AFTER = 24
+
+
+class AdditiveTable:
+    """``root/parts/batch_id=N`` holds the subtotals of batch N; ``root/base/batch_id=N`` the sum of
+    all batches up to N. ``add`` sums rows of the same key and keeps the columns."""
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        root: str,
+        add: Callable[[DataFrame], DataFrame],
+        fold_after: int = FOLD_AFTER,
+    ):
+        self.spark, self.add, self.fold_after = spark, add, fold_after
+        self.parts, self.base = f"{root}/parts", f"{root}/base"
+
+    def _folded(self, before: int | None = None) -> int:
+        known = [n for n in committed(self.spark, self.base, "batch_id") if before is None or n < before]
+        return known[-1] if known else -1
+
+    def put(self, subtotals: DataFrame, batch_id: int) -> None:
+        """Store the subtotals of a batch, unless a base already contains it."""
+        if batch_id > self._folded():
+            write_version(subtotals, self.parts, batch_id, "batch_id")
+            pending = committed(self.spark, self.parts, "batch_id")
+            if len([n for n in pending if n > self._folded()]) >= self.fold_after:
+                self.fold(batch_id - 1)
+
+    def totals(self, before: int | None = None) -> DataFrame | None:
+        """Totals per key over all batches, or over those with a number under ``before``."""
+        base = self._folded(before)
+        paths = [f"{self.base}/batch_id={base}"] if base >= 0 else []
+        paths += [
+            f"{self.parts}/batch_id={n}"
+            for n in committed(self.spark, self.parts, "batch_id")
+            if n > base and (before is None or n < before)
+        ]
+        return self.add(self.spark.read.parquet(*paths)) if paths else None
+
+    def fold(self, upto: int) -> None:
+        """Write the base that contains every batch up to ``upto``. The newest batch stays out, so
+        that a replay of it still finds the totals before it."""
+        if upto > self._folded():
+            folded = self.totals(before=upto + 1)
+            if folded is not None:
+                write_version(folded, self.base, upto, "batch_id")
