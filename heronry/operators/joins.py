@@ -27,3 +27,8 @@ def above_average(df: DataFrame, column: str, times: float) -> DataFrame:
     mean = df.agg((F.avg(column) * times).alias("__bar"))
     # The mean is one row by construction, so sending it to every task is safe at any size.
     return df.join(F.broadcast(mean), F.col(column) > F.col("__bar")).drop("__bar")
+
+
+def matched(known: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows of two keyed tables side by side; keys that only one of them has are kept."""
+    return known.join(new, key, "full_outer")

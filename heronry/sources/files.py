@@ -38,6 +38,26 @@ def read_csv_dated(spark: SparkSession, path: str | list[str], date_column: str)
     return df.withColumn(date_column, to_moment(F.trim(date_column)).cast("timestamp_ntz"))
 
 
+def read_csv_capped(
+    spark: SparkSession, path: str, schema: str, max_bad: int, header: bool = False
+) -> DataFrame:
+    """CSV under a declared schema, tolerating up to ``max_bad`` records that do not fit it.
+
+    The check reads the file once; more bad records than allowed are an error.
+    """
+    raw = (
+        spark.read.option("header", header)
+        .option("columnNameOfCorruptRecord", "__bad")
+        .schema(f"{schema}, __bad string")
+        .csv(path)
+    )
+    first, *_ = raw.columns
+    bad = raw.select(F.count_if(F.col("__bad").isNotNull()), F.count(first)).first()[0]
+    if bad > max_bad:
+        raise ValueError(f"{bad} bad records in {path}, at most {max_bad} allowed")
+    return raw.where(F.col("__bad").isNull()).drop("__bad")
+
+
 def read_payload_records(
     spark: SparkSession, path: str, schema: T.StructType | str, multi_line: bool = False
 ) -> DataFrame:
