@@ -57,8 +57,13 @@ def quality_report(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     )
 
 
-def between_dates(df: DataFrame, column: str, first: date, last: date) -> DataFrame:
-    """Rows dated from ``first`` to ``last``, both included. On a partition column this prunes folders."""
+def between_dates(
+    df: DataFrame, column: str, first: date, last: date, months: str | None = None
+) -> DataFrame:
+    """Rows dated from ``first`` to ``last``, both included. On a partition column this prunes
+    folders; ``months`` names a partition column with the first day of the month of ``column``."""
+    if months is not None:
+        df = df.where(F.col(months).between(F.lit(first.replace(day=1)), F.lit(last)))
     return df.where(F.col(column).between(F.lit(first), F.lit(last)))
 
 
