@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from heronry.functions.texts import strip_names
 from heronry.functions.times import to_moment
+from heronry.session import materialize
 
 
 def read_csv(
@@ -43,7 +44,7 @@ def read_csv_capped(
 ) -> DataFrame:
     """CSV under a declared schema, tolerating up to ``max_bad`` records that do not fit it.
 
-    The check reads the file once; more bad records than allowed are an error.
+    The text is parsed once, into the shared folder; more bad records than allowed are an error.
     """
     raw = (
         spark.read.option("header", header)
@@ -51,11 +52,11 @@ def read_csv_capped(
         .schema(f"{schema}, __bad string")
         .csv(path)
     )
-    first, *_ = raw.columns
-    bad = raw.select(F.count_if(F.col("__bad").isNotNull()), F.count(first)).first()[0]
+    parsed = materialize(raw, "csv-load")
+    bad = parsed.where(F.col("__bad").isNotNull()).count()
     if bad > max_bad:
         raise ValueError(f"{bad} bad records in {path}, at most {max_bad} allowed")
-    return raw.where(F.col("__bad").isNull()).drop("__bad")
+    return parsed.where(F.col("__bad").isNull()).drop("__bad")
 
 
 def read_payload_records(
