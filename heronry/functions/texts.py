@@ -8,9 +8,10 @@ from collections import Counter
 from pyspark.sql import Column, DataFrame, functions as F
 
 # Everything that counts as white space at the ends of a caption line.
-BLANKS = r"[\t\n\x0B\f\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
-EDGE_BLANKS = rf"^{BLANKS}+|{BLANKS}+\z"
-LINE_BREAK = r"\r\n|\r|\n"
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Characters a column name may not keep; a blank becomes an underscore.
 FORBIDDEN_IN_NAMES = ";{}()\n\t="
@@ -18,9 +19,9 @@ FORBIDDEN_IN_NAMES = ";{}()\n\t="
 
 def caption_text(captions: Column) -> Column:
     """The spoken text of a caption file: cue times, NOTE lines and blank lines dropped,
-    the rest joined by single blanks."""
+    the rest joined by single blanks. Any line ending will do, since blank lines are dropped."""
     lines = F.transform(
-        F.split(captions, LINE_BREAK), lambda line: F.regexp_replace(line, EDGE_BLANKS, "")
+        F.split(F.translate(captions, "\r", "\n"), "\n"), lambda line: F.btrim(line, F.lit(BLANKS))
     )
     spoken = F.filter(
         lines,

@@ -49,10 +49,19 @@ def apply_changes(
     Inserts and updates carry the whole row. Finding the last change keeps one row per key and task
     before the shuffle, so a key with very many changes is no bottleneck.
     """
-    last = latest_per_key(changes, [key], *sequence)
-    untouched = table.join(last.select(key), key, "left_anti")
-    written = last.where(F.col(action) != "delete").select(*table.columns)
-    return untouched.select(*table.columns).unionByName(written)
+    last = latest_per_key(changes, [key], *sequence).select(
+        F.col(key).alias("__key"),
+        F.col(action).alias("__action"),
+        *[F.col(c).alias(f"__{c}") for c in table.columns if c != key],
+    )
+    changed = F.col("__action").isNotNull()
+    rows = table.join(last, F.col(key) == F.col("__key"), "full_outer")
+    return rows.where(~changed | (F.col("__action") != "delete")).select(
+        *[
+            F.when(changed, F.col("__key" if c == key else f"__{c}")).otherwise(F.col(c)).alias(c)
+            for c in table.columns
+        ]
+    )
 
 
 def update_where(df: DataFrame, column: str, value: Column, condition: Column) -> DataFrame:

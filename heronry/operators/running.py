@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.window import WindowSpec
 
 from heronry.functions.numbers import exact_total, from_units, in_units
 from heronry.session import materialize
@@ -12,7 +13,10 @@ PIECE_ROWS = 2_000_000
 # Upper bound for the number of pieces, which bounds everything that is broadcast here.
 MAX_PIECES = 50_000
 
-_UNITS, _SUM, _COUNT = "__units", "__running_units", "running_count"
+# What a row adds to the sum and to the count of its key, and whether it is a row of the caller (1)
+# or the totals its key starts from (0).
+_UNITS, _WEIGHT, _TURN = "__units", "__weight", "__turn"
+_SUM, _COUNT = "__running_units", "running_count"
 
 
 def running_totals(
@@ -30,40 +34,37 @@ def running_totals(
     put all its rows in one task, so its rows are range-partitioned by order into pieces; each
     piece is summed on its own and the totals of the earlier pieces are added.
 
-    ``earlier`` holds totals to start from, as :func:`key_totals` gives them.
+    ``earlier`` holds totals to start from, as :func:`key_totals` gives them. They go through the
+    same window as first rows of their keys, which saves a join.
     """
-    columns = df.columns
-    df = df.withColumn(_UNITS, in_units(F.col(value), scale).cast("decimal(18,0)"))
-    rows = df.count()
-    piece_rows = max(piece_rows, -(-rows // MAX_PIECES))
-    if rows <= piece_rows:
-        totals = _within(df, [key], order)
-    else:
-        hot = materialize(
-            df.groupBy(F.col(key).alias("__hot"))
-            .agg(F.count("*").alias("__rows"))
-            .where(F.col("__rows") > piece_rows),
-            "hot-keys",
-        )
-        pieces = hot.agg(F.sum(F.ceil(F.col("__rows") / piece_rows))).first()[0]
-        if pieces is None:
-            totals = _within(df, [key], order)
-        else:
-            # At most MAX_PIECES keys can have more than rows / MAX_PIECES rows each.
-            is_hot = F.col(key).eqNullSafe(F.col("__hot"))
-            few = F.broadcast(hot.select("__hot"))
-            totals = _within(df.join(few, is_hot, "left_anti"), [key], order).unionByName(
-                _in_pieces(df.join(few, is_hot, "left_semi"), key, order, int(pieces))
-            )
+    steps = df.withColumns(
+        {
+            _UNITS: in_units(F.col(value), scale).cast("decimal(18,0)"),
+            _WEIGHT: F.col(value).isNotNull().cast("bigint"),
+            _TURN: F.lit(1),
+        }
+    )
     if earlier is not None:
         start = earlier.select(
-            F.col(key).alias("__start"), F.col("total_units"), F.col("total_count")
+            key,
+            F.col("total_units").alias(_UNITS),
+            F.col("total_count").alias(_WEIGHT),
+            F.lit(0).alias(_TURN),
         )
-        totals = totals.join(start, F.col(key).eqNullSafe(F.col("__start")), "left")
-        totals = totals.withColumn(_SUM, _plus(_SUM, "total_units")).withColumn(
-            _COUNT, _plus(_COUNT, "total_count")
-        )
-    return totals.select(*columns, from_units(F.col(_SUM), scale).alias("running_sum"), _COUNT)
+        steps = steps.unionByName(start, allowMissingColumns=True)
+    return (
+        _summed(steps, df, key, [_TURN, *order], piece_rows)
+        .where(F.col(_TURN) == 1)
+        .select(*df.columns, from_units(F.col(_SUM), scale).alias("running_sum"), _COUNT)
+    )
+
+
+def running_average(df: DataFrame, key: str, order: list[str], value: str, **options) -> DataFrame:
+    """``df`` with the average of the key's values so far in ``running_avg``."""
+    totals = running_totals(df, key, order, value, **options)
+    return totals.withColumn(
+        "running_avg", F.try_divide(F.col("running_sum"), F.col("running_count"))
+    )
 
 
 def key_totals(df: DataFrame, key: str, value: str, scale: int = 2) -> DataFrame:
@@ -84,49 +85,67 @@ def add_key_totals(totals: DataFrame, key: str) -> DataFrame:
     )
 
 
-def _within(df: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
-    so_far = (
-        Window.partitionBy(*partition)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+def _summed(
+    steps: DataFrame, df: DataFrame, key: str, order: list[str], piece_rows: int
+) -> DataFrame:
+    # Sizes come from the caller's rows: the start adds one row per key at most.
+    rows = df.count()
+    piece_rows = max(piece_rows, -(-rows // MAX_PIECES))
+    if rows <= piece_rows:
+        return _within(steps, [key], order)
+    hot = materialize(
+        df.groupBy(F.col(key).alias("__hot"))
+        .agg(F.count("*").alias("__rows"))
+        .where(F.col("__rows") > piece_rows),
+        "hot-keys",
     )
-    return df.withColumn(_SUM, F.sum(_UNITS).over(so_far)).withColumn(
-        _COUNT, F.count(_UNITS).over(so_far)
+    pieces = hot.agg(F.sum(F.ceil(F.col("__rows") / piece_rows))).first()[0]
+    if pieces is None:
+        return _within(steps, [key], order)
+    # No more than MAX_PIECES keys can have over rows / MAX_PIECES rows each.
+    few, is_hot = F.broadcast(hot.select("__hot")), F.col(key).eqNullSafe(F.col("__hot"))
+    cold = _within(steps.join(few, is_hot, "left_anti"), [key], order)
+    return cold.unionByName(
+        _in_pieces(steps.join(few, is_hot, "left_semi"), key, order, int(pieces))
     )
 
 
-def _in_pieces(df: DataFrame, key: str, order: list[str], pieces: int) -> DataFrame:
+def _so_far(partition: list[str], order: list[str], last: int) -> WindowSpec:
+    window = Window.partitionBy(*partition).orderBy(*order)
+    return window.rowsBetween(Window.unboundedPreceding, last)
+
+
+def _within(steps: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
+    so_far = _so_far(partition, order, Window.currentRow)
+    return steps.withColumns(
+        {_SUM: F.sum(_UNITS).over(so_far), _COUNT: F.sum(_WEIGHT).over(so_far)}
+    )
+
+
+def _in_pieces(steps: DataFrame, key: str, order: list[str], pieces: int) -> DataFrame:
     # Stored, because the cut points come from a sample and must be the same for both uses below.
     cut = materialize(
-        df.repartitionByRange(pieces, key, *order).withColumn("__piece", F.spark_partition_id()),
+        steps.repartitionByRange(pieces, key, *order).withColumn("__piece", F.spark_partition_id()),
         "running-pieces",
     )
     local = _within(cut, [key, "__piece"], order)
-    before = (
-        Window.partitionBy("__key")
-        .orderBy("__piece_no")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    before = _so_far(["__key"], ["__of"], -1)
     # One row per key and piece it touches: pieces are ranges, so at most pieces + keys rows.
     carried = (
-        cut.groupBy(F.col(key).alias("__key"), F.col("__piece").alias("__piece_no"))
-        .agg(F.sum(_UNITS).alias("__sum"), F.count(_UNITS).alias("__count"))
+        cut.groupBy(F.col(key).alias("__key"), F.col("__piece").alias("__of"))
+        .agg(F.sum(_UNITS).alias("__sum"), F.sum(_WEIGHT).alias("__count"))
         .select(
             "__key",
-            "__piece_no",
+            "__of",
             F.sum("__sum").over(before).alias("__sum_before"),
             F.sum("__count").over(before).alias("__count_before"),
         )
     )
-    same_piece = (F.col(key).eqNullSafe(F.col("__key"))) & (
-        F.col("__piece") == F.col("__piece_no")
-    )
-    sum_type = local.schema[_SUM].dataType
-    return (
-        local.join(F.broadcast(carried), same_piece, "left")
-        .withColumn(_SUM, _plus(_SUM, "__sum_before").cast(sum_type))
-        .withColumn(_COUNT, _plus(_COUNT, "__count_before"))
-        .drop("__piece", "__key", "__piece_no", "__sum_before", "__count_before")
+    same_piece = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__piece") == F.col("__of"))
+    return local.join(F.broadcast(carried), same_piece, "left").select(
+        *steps.columns,
+        _plus(_SUM, "__sum_before").cast(local.schema[_SUM].dataType).alias(_SUM),
+        _plus(_COUNT, "__count_before").alias(_COUNT),
     )
 
 
@@ -134,11 +153,3 @@ def _plus(part: str, carried: str) -> Column:
     """A running value plus what came before its piece; null only if both are."""
     before = F.col(carried)
     return F.coalesce(F.col(part) + F.coalesce(before, F.lit(0)), before)
-
-
-def running_average(df: DataFrame, key: str, order: list[str], value: str, **options) -> DataFrame:
-    """``df`` with the average of the key's values so far in ``running_avg``."""
-    totals = running_totals(df, key, order, value, **options)
-    return totals.withColumn(
-        "running_avg", F.try_divide(F.col("running_sum"), F.col("running_count"))
-    )

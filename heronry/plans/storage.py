@@ -8,7 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heronry.functions.mappings import weather_condition
-from heronry.functions.texts import BLANKS, LINE_BREAK, caption_text
+from heronry.functions.texts import caption_text
 from heronry.operators import aggregates, filters, joins, keyed, schemas
 from heronry.plans import sql
 from heronry.plans.registry import plain, query
@@ -158,9 +158,12 @@ def managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 SEPARATOR = "\x1e"
-CAPTIONS_SQL = f"""SELECT doc_id, array_to_string(list_filter(list_transform(
-    regexp_split_to_array(text, '{LINE_BREAK}'),
-    lambda line: regexp_replace(line, '^{BLANKS}+|{BLANKS}+\\z', '', 'g')),
+BLANK_CLASS = (
+    r"[\t\n\x0B\f\r\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]"
+)
+CAPTIONS_SQL = rf"""SELECT doc_id, array_to_string(list_filter(list_transform(
+    regexp_split_to_array(text, '\r\n|\r|\n'),
+    lambda line: regexp_replace(line, '^{BLANK_CLASS}+|{BLANK_CLASS}+\z', '', 'g')),
     lambda line: line <> '' AND NOT starts_with(line, 'NOTE') AND NOT contains(line, '-->')), ' ')
     AS spoken FROM documents"""
 

@@ -26,13 +26,16 @@ def places(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def opportunities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sales opportunities: one per order, with the place and segment of its customer."""
-    orders, customer = table(spark, sf_dir, "orders"), table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders")
+    # Places are attached to the customers, which are far fewer than the orders.
+    customer = table(spark, sf_dir, "customer").join(
+        places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left"
+    )
     status = F.col("o_orderstatus")
     chance = F.when(status == "F", 1.0).when(status == "P", 0.5).otherwise(0.1)
     day = F.to_date("o_orderdate")
     return (
         orders.join(customer, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(places(spark, sf_dir), F.col("c_nationkey") == F.col("n_nationkey"), "left")
         .select(
             F.col("o_orderkey").alias("lead_id"),
             day.alias("created_date"),
