@@ -248,13 +248,13 @@ def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _star(spark, sf_dir)
 
 
-@query(
-    "join_left_enrich",
-    f"""WITH {RAW_ORDERS} SELECT order_id, customer_id,
+ENRICHED_SQL = f"""WITH {RAW_ORDERS} SELECT order_id, customer_id,
     CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name END AS customer_name, quantity, price,
     order_timestamp FROM raw_orders LEFT JOIN customer ON customer_id = c_custkey
-    WHERE order_id IS NOT NULL AND quantity > 0""",
-)
+    WHERE order_id IS NOT NULL AND quantity > 0"""
+
+
+@query("join_left_enrich", ENRICHED_SQL)
 def enriched_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.enrich_orders(clean_orders(spark, sf_dir), raw_customers(spark, sf_dir))
 

@@ -13,6 +13,7 @@ from heronry.operators import aggregates, filters, joins, keyed, schemas
 from heronry.plans import sql
 from heronry.plans.registry import plain, query
 from heronry.plans.sales import (
+    ENRICHED_SQL,
     OPP,
     OPP_COLUMNS,
     PRODUCTS,
@@ -455,14 +456,14 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "join_merge_key",
     f"""WITH {PARTS} SELECT coalesce(s.customer_id, t.customer_id) AS customer_id,
-    t.total_transactions AS known_transactions, s.total_transactions AS new_transactions
-    FROM t FULL OUTER JOIN s ON t.customer_id = s.customer_id""",
+    coalesce(t.total_transactions, 0) AS known_transactions,
+    coalesce(s.total_transactions, 0) AS new_transactions FROM t FULL OUTER JOIN s ON t.customer_id = s.customer_id""",
 )
 def matched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     older, newer = _two_periods(spark, sf_dir)
     known = older.select("customer_id", F.col("total_transactions").alias("known_transactions"))
     new = newer.select("customer_id", F.col("total_transactions").alias("new_transactions"))
-    return joins.matched(known, new, "customer_id")
+    return joins.matched(known, new, "customer_id").fillna(0)
 
 
 CHANGES_SQL = """changes AS (
@@ -593,13 +594,7 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- chains of tables -------------------------------------------------------------------------
 
 
-@query(
-    "table_dag",
-    f"""WITH {RAW_ORDERS} SELECT order_id, customer_id,
-    CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name END AS customer_name, quantity, price,
-    order_timestamp FROM raw_orders LEFT JOIN customer ON customer_id = c_custkey
-    WHERE order_id IS NOT NULL AND quantity > 0""",
-)
+@query("table_dag", ENRICHED_SQL)
 def staged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw, cleaned and enriched orders, each table built from the stored one before."""
     orders = spark.table(_saved(spark, raw_orders(spark, sf_dir), "orders_raw"))

@@ -7,11 +7,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heronry.operators import joins, projections
+from heronry.operators import filters, joins, projections
 from heronry.plans import sql
 from heronry.plans.registry import plain, query
 from heronry.plans.running import ORDER, RUNNING_AVG
-from heronry.plans.sales import RAW_ORDERS
+from heronry.plans.sales import ENRICHED_SQL, order_rules
 from heronry.plans.views import (
     AS_OF,
     clicks,
@@ -333,18 +333,14 @@ def click_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- joins and merges -------------------------------------------------------------------------
 
 
-@query(
-    "st_join_enrich",
-    f"""WITH {RAW_ORDERS} SELECT order_id, customer_id,
-    CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name END AS customer_name, quantity, price,
-    order_timestamp FROM raw_orders LEFT JOIN customer ON customer_id = c_custkey""",
-)
+@query("st_join_enrich", ENRICHED_SQL)
 def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = fresh_path(spark, "st-enrich")
     orders = raw_orders(spark, sf_dir)
     orders.write.parquet(f"{root}/landed")
     stream = spark.readStream.schema(orders.schema).parquet(f"{root}/landed")
-    enriched = joins.enrich_orders(stream, raw_customers(spark, sf_dir))
+    cleaned = filters.meets(stream, order_rules())
+    enriched = joins.enrich_orders(cleaned, raw_customers(spark, sf_dir))
     runs.finish(runs.to_files(enriched, f"{root}/out", f"{root}/progress"))
     return spark.read.schema(enriched.schema).parquet(f"{root}/out")
 

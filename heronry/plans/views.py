@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from heronry.functions.numbers import discount_amount
 
@@ -12,8 +12,16 @@ from heronry.functions.numbers import discount_amount
 AS_OF = date(2001, 8, 1)
 
 
+_schemas: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its schema is read from a footer once per session, not once per query."""
+    path = f"{sf_dir}/{name}.parquet"
+    known = (spark.sparkContext.applicationId, path)
+    if known not in _schemas:
+        _schemas[known] = spark.read.parquet(path).schema
+    return spark.read.schema(_schemas[known]).parquet(path)
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,6 +32,8 @@ def build_session(
         "spark.sql.files.maxPartitionBytes": "256m",
         "spark.sql.shuffle.partitions": str(os.cpu_count() or 8) if local else "4096",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Recording a call site for every column expression doubles the time to build a plan.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         "spark.sql.streaming.stateStore.providerClass": (
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
         ),
