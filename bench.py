@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from heronry.plans import all_queries  # noqa: E402
-from heronry.session import build_session  # noqa: E402
+from heronry.session import build_session, clear_scratch  # noqa: E402
 
 HEADLINES = [
     "agg_customer_metrics_pct",
@@ -78,6 +78,7 @@ def main() -> None:
         seconds[name] = round(
             statistics.median(run_once(queries[name], spark, sf_dir) for _ in range(repeats)), 4
         )
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

@@ -25,6 +25,7 @@ from heronry.plans.views import (
 from heronry.session import fresh_path
 from heronry.sources.topics import decode_json, publish, read_topic, stream_topic
 from heronry.streaming import jobs, runs
+from heronry.streaming.folded import FoldedTable, newest, numbered
 
 READING = "event_id bigint, sensor_id bigint, value double, ts timestamp_ntz"
 PURCHASE = "event_id bigint, user_id bigint, product_id string, amount double, ts timestamp_ntz"
@@ -222,20 +223,22 @@ SPENDING_SQL = f"""SELECT user_id, {sql.exact('value')} AS spending FROM events
     HAVING SUM(CAST(value AS DECIMAL(12,2))) > 2000"""
 
 
+def _updated(topic: Topic, sums: DataFrame, label: str, key: str, value: str) -> DataFrame:
+    """Run a query in update mode and keep the newest row of each key."""
+    table = FoldedTable(topic.spark, topic.path(label), newest(key, value))
+    progress = topic.path(f"{label}-progress")
+    runs.finish(runs.to_batches(sums, numbered(table), progress, "update"))
+    return table.read().select(key, value)
+
+
 def _revenue(topic: Topic) -> DataFrame:
     sums = jobs.sums_by_key(topic.stream(PURCHASE), "product_id", "amount", "revenue")
-    root = topic.path("revenue")
-    stored = jobs.changes_to(root)
-    runs.finish(runs.to_batches(sums, stored, topic.path("revenue-progress"), "update"))
-    return jobs.newest_rows(topic.spark, root, "product_id", "revenue")
+    return _updated(topic, sums, "revenue", "product_id", "revenue")
 
 
 def _spending(topic: Topic) -> DataFrame:
     sums = jobs.high_value(topic.stream(PURCHASE), "user_id", "amount", "spending", 2000)
-    root = topic.path("spending")
-    stored = jobs.changes_to(root)
-    runs.finish(runs.to_batches(sums, stored, topic.path("spending-progress"), "update"))
-    return jobs.newest_rows(topic.spark, root, "user_id", "spending")
+    return _updated(topic, sums, "spending", "user_id", "spending")
 
 
 @query("st_sum_by_product", REVENUE_SQL)

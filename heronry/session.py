@@ -65,9 +65,20 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folders[app].name
 
 
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/heronry/{spark.conf.get('spark.app.id')}"
+
+
 def fresh_path(spark: SparkSession, label: str) -> str:
-    """A path in the shared folder that no earlier run has used."""
-    return f"{shared_folder(spark)}/heronry/{label}-{uuid.uuid4().hex}"
+    """A path in the shared folder that nobody has used."""
+    return f"{_scratch(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete what this application has stored in the shared folder. Results that still read from
+    there are lost, so call it at the very end."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:

@@ -16,7 +16,7 @@ from heronry.operators.projections import stamp
 from heronry.operators.running import add_key_totals, key_totals
 from heronry.operators.running import running_average as average_so_far
 from heronry.sinks.versions import committed, write_version
-from heronry.streaming.additive import AdditiveTable
+from heronry.streaming.folded import FoldedTable
 from heronry.streaming.runs import to_batches
 
 
@@ -50,15 +50,6 @@ def changes_to(root: str) -> Callable[[DataFrame, int], None]:
     return lambda batch, number: write_version(batch, root, number, "batch_id")
 
 
-def newest_rows(spark: SparkSession, root: str, key: str, *columns: str) -> DataFrame:
-    """The last stored row of each key."""
-    return (
-        stored_rows(spark, root)
-        .groupBy(key)
-        .agg(*[F.max_by(c, "batch_id").alias(c) for c in columns])
-    )
-
-
 # --- running average --------------------------------------------------------------------------
 
 
@@ -79,12 +70,12 @@ def running_average(
     (see :mod:`heronry.operators.running`), which state kept per key could not do.
     """
     spark = stream.sparkSession
-    state = AdditiveTable(spark, f"{root}/state", lambda parts: add_key_totals(parts, key))
+    state = FoldedTable(spark, f"{root}/state", lambda parts: add_key_totals(parts, key))
 
     def handle(batch: DataFrame, number: int) -> None:
         rows = stored_batch(spark, batch, f"{root}/in", number)
         averaged = average_so_far(
-            rows, key, order, value, scale=scale, earlier=state.totals(before=number), **options
+            rows, key, order, value, scale=scale, earlier=state.read(before=number), **options
         )
         write_version(averaged, f"{root}/out", number, "batch_id")
         state.put(key_totals(rows, key, value, scale), number)
@@ -101,7 +92,7 @@ class CustomerMetrics:
     def __init__(self, spark: SparkSession, root: str, discount: str = "amount", **options: int):
         self.spark, self.root, self.discount = spark, root, discount
         add = lambda parts: add_parts(parts, "customer_id")
-        self.metrics = AdditiveTable(spark, f"{root}/metrics", add, **options)
+        self.metrics = FoldedTable(spark, f"{root}/metrics", add, **options)
 
     def handle(self, batch: DataFrame, number: int) -> None:
         """Store the raw rows of a batch and add its metrics. Safe to repeat; errors are raised, so
@@ -121,7 +112,7 @@ class CustomerMetrics:
 
     def table(self, as_of: date) -> DataFrame:
         """The metrics table, with inactivity counted up to ``as_of``."""
-        totals = self.metrics.totals()
+        totals = self.metrics.read()
         if totals is None:
             raise LookupError("no transactions received yet")
         return finish_metrics(totals, as_of)

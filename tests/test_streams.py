@@ -5,11 +5,11 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from heronry.operators.aggregates import add_parts, customer_metrics
+from heronry.operators.aggregates import add_parts, customer_metrics, metric_parts
 from heronry.operators.running import running_average
 from heronry.sources.topics import decode_json, publish, stream_topic
 from heronry.streaming import jobs, runs
-from heronry.streaming.additive import AdditiveTable
+from heronry.streaming.folded import FoldedTable, newest, numbered
 
 TX = """transaction_id bigint, customer_id bigint, transaction_date timestamp_ntz, quantity int,
     gross_amount double, discount_applied double"""
@@ -71,15 +71,13 @@ def test_folding_keeps_totals_and_ignores_replays(spark, tmp_path):
 
 def test_totals_before_a_batch(spark, tmp_path):
     add = lambda parts: add_parts(parts, "customer_id")
-    state = AdditiveTable(spark, str(tmp_path), add, fold_after=2)
-    from heronry.operators.aggregates import metric_parts
-
+    state = FoldedTable(spark, str(tmp_path), add, fold_after=2)
     for number in range(4):
         batch = tx(spark, (number, 1, 1 + number, 1, 10.0, 0.0))
         state.put(metric_parts(batch, "customer_id", "amount"), number)
-    assert state.totals(before=0) is None
+    assert state.read(before=0) is None
     for before in (1, 2, 3, 4):
-        assert state.totals(before=before).first()["total_transactions"] == before
+        assert state.read(before=before).first()["total_transactions"] == before
 
 
 def test_failed_batch_is_done_again(spark, tmp_path):
@@ -136,9 +134,9 @@ def test_updates_of_running_sums(spark, tmp_path):
             stream_topic(spark, "parquet", f"{tmp_path}/topic"), "user_id bigint, amount double"
         )
         sums = jobs.high_value(stream, "user_id", "amount", "spent", 2000)
-        store = jobs.changes_to(f"{tmp_path}/out")
-        runs.finish(runs.to_batches(sums, store, f"{tmp_path}/progress", "update"))
-        seen.append({tuple(r) for r in jobs.newest_rows(spark, f"{tmp_path}/out", "user_id", "spent").collect()})
+        table = FoldedTable(spark, f"{tmp_path}/out", newest("user_id", "spent"))
+        runs.finish(runs.to_batches(sums, numbered(table), f"{tmp_path}/progress", "update"))
+        seen.append({(r["user_id"], r["spent"]) for r in table.read().collect()})
     assert seen == [set(), {(1, 2100.0)}]
 
 
