@@ -14,9 +14,21 @@ def in_units(value: Column, scale: int) -> Column:
     return F.rint(value * F.lit(float(10**scale))).cast("long")
 
 
+# Units are summed in two parts, so that neither sum can outgrow a bigint before a group has some
+# trillions of rows.
+LOW_BITS = 20
+
+
 def exact_total(value: Column, scale: int = 2) -> Column:
-    """Sum of a fixed-point double as decimal units; the order of rows cannot change it."""
-    return F.sum(in_units(value, scale).cast("decimal(18,0)"))
+    """Sum of a fixed-point double as decimal units; the order of rows cannot change it.
+
+    Two bigint sums are combined at the end: as exact as a decimal sum, nearly as cheap as a double
+    one, and a third narrower in the shuffle.
+    """
+    units = in_units(value, scale)
+    high = F.sum(F.shiftright(units, LOW_BITS)).cast("decimal(19,0)")
+    low = F.sum(units.bitwiseAND(F.lit(2**LOW_BITS - 1))).cast("decimal(19,0)")
+    return high * F.lit(2**LOW_BITS).cast("decimal(7,0)") + low
 
 
 def from_units(units: Column, scale: int = 2) -> Column:
