@@ -62,15 +62,23 @@ def between_dates(
 ) -> DataFrame:
     """Rows dated from ``first`` to ``last``, both included. On a partition column this prunes
     folders; ``months`` names a partition column with the first day of the month of ``column``."""
-    if months is not None:
-        df = df.where(F.col(months).between(F.lit(first.replace(day=1)), F.lit(last)))
-    return df.where(F.col(column).between(F.lit(first), F.lit(last)))
+    chosen = F.col(column).between(F.lit(first), F.lit(last))
+    return _in_months(df, first, last, months).where(chosen)
 
 
-def between_moments(df: DataFrame, column: str, first: datetime, last: datetime) -> DataFrame:
-    """Rows stamped from ``first`` to ``last``, both included. Bounds are zone-less wall-clock times."""
+def between_moments(
+    df: DataFrame, column: str, first: datetime, last: datetime, months: str | None = None
+) -> DataFrame:
+    """Rows stamped from ``first`` to ``last``, both included. Bounds are zone-less wall-clock times;
+    ``months`` is as for :func:`between_dates`."""
     bounds = [F.lit(t.isoformat(sep=" ")).cast("timestamp_ntz") for t in (first, last)]
-    return df.where(F.col(column).between(*bounds))
+    return _in_months(df, first.date(), last.date(), months).where(F.col(column).between(*bounds))
+
+
+def _in_months(df: DataFrame, first: date, last: date, months: str | None) -> DataFrame:
+    if months is None:
+        return df
+    return df.where(F.col(months).between(F.lit(first.replace(day=1)), F.lit(last)))
 
 
 def containing(df: DataFrame, column: str, part: str) -> DataFrame:

@@ -47,8 +47,9 @@ def test_top_n_is_cut_before_the_shuffle(big, sf_dir):
 
 
 def test_filters_reach_the_scan(big, sf_dir):
-    lookup = plan_of(QUERIES["flt_point_lookup"](big, sf_dir))
-    assert "EqualTo(o_custkey,42)" in lookup
+    assert "EqualTo(customer_id,42)" in plan_of(QUERIES["flt_point_lookup"](big, sf_dir))
+    metrics = QUERIES["agg_customer_metrics_pct"](big, sf_dir).where("customer_id = 42")
+    assert "EqualTo(o_custkey,42)" in plan_of(metrics)
     assert "GreaterThan(o_totalprice,100000.0)" in plan_of(QUERIES["agg_sum_avg_two_keys"](big, sf_dir))
 
 
@@ -84,3 +85,11 @@ def test_hot_join_key_is_split(big, sf_dir):
 def test_places_are_joined_to_customers_first(big, sf_dir):
     plan = plan_of(opportunities(big, sf_dir))
     assert plan.index("o_custkey") < plan.index("c_nationkey")
+
+
+def test_period_opens_only_its_months(big, sf_dir):
+    df = QUERIES["snk_partitioned_metrics"](big, sf_dir)
+    scan = df._jdf.queryExecution().executedPlan().collectLeaves().head()
+    filters = scan.partitionFilters().mkString(" ")
+    assert re.search(r"updated_month#\d+ >= 2001-01-01", filters)
+    assert re.search(r"updated_month#\d+ <= 2001-06-30", filters)
