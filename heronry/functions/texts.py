@@ -20,14 +20,10 @@ FORBIDDEN_IN_NAMES = ";{}()\n\t="
 def caption_text(captions: Column) -> Column:
     """The spoken text of a caption file: cue times, NOTE lines and blank lines dropped,
     the rest joined by single blanks. Any line ending will do, since blank lines are dropped."""
-    lines = F.transform(
-        F.split(F.translate(captions, "\r", "\n"), "\n"), lambda line: F.btrim(line, F.lit(BLANKS))
-    )
+    lines = F.split(F.replace(captions, F.lit("\r"), F.lit("\n")), "\n")
     spoken = F.filter(
-        lines,
-        lambda line: (F.length(line) > 0)
-        & ~F.startswith(line, F.lit("NOTE"))
-        & ~F.contains(line, F.lit("-->")),
+        F.transform(lines, lambda line: F.btrim(line, F.lit(BLANKS))),
+        lambda line: (line != "") & ~line.startswith("NOTE") & ~line.contains("-->"),
     )
     return F.array_join(spoken, " ")
 

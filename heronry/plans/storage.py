@@ -119,7 +119,7 @@ def _weather_payloads(spark: SparkSession, sf_dir: str) -> str:
     )
     table(spark, sf_dir, "events").select(
         F.col("user_id").cast("double").alias("latitude"),
-        F.lit(105.8542).alias("longitude"),
+        F.lit(10.25).alias("longitude"),
         current.alias("current_weather"),
     ).write.json(path)
     return path
@@ -131,7 +131,7 @@ def _weather_payloads(spark: SparkSession, sf_dir: str) -> str:
     CASE WHEN event_type <> 'signup' THEN value / 2 END AS windspeed,
     CAST(hour(ts) BETWEEN 6 AND 18 AS INTEGER) AS is_day,
     CAST(json_extract(props, '$.k') AS INTEGER) AS weathercode,
-    CAST(user_id AS DOUBLE) AS latitude, CAST(105.8542 AS DOUBLE) AS longitude,
+    CAST(user_id AS DOUBLE) AS latitude, CAST(10.25 AS DOUBLE) AS longitude,
     CAST(NULL AS DOUBLE) AS elevation FROM events""",
 )
 def payload_object(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,7 +307,7 @@ def single_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("snk_parquet_overwrite", STAGES_SQL)
 def overwritten(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, stages = fresh_path(spark, "overwritten"), revenue_by_stage(spark, sf_dir)
-    sinks.write_parquet(stages.limit(1), path)
+    sinks.write_parquet(stages.select("region", "stage"), path)
     sinks.write_parquet(stages, path)
     return spark.read.schema(STAGES).parquet(path)
 
@@ -604,11 +604,11 @@ def staged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.table(enriched)
 
 
-WEATHER_RAW_SQL = """SELECT 'Hanoi' AS city, ts AS processed_timestamp, value AS temperature,
+WEATHER_RAW_SQL = """SELECT 'here' AS city, ts AS processed_timestamp, value AS temperature,
     CASE WHEN event_type <> 'signup' THEN value / 2 END AS windspeed,
     CAST(hour(ts) BETWEEN 6 AND 18 AS INTEGER) AS is_day,
     CAST(json_extract(props, '$.k') AS INTEGER) AS code, CAST(user_id AS DOUBLE) AS latitude,
-    CAST(105.8542 AS DOUBLE) AS longitude FROM events"""
+    CAST(10.25 AS DOUBLE) AS longitude FROM events"""
 
 
 WEATHER_TABLE_SQL = f"""SELECT city, processed_timestamp, temperature, windspeed, is_day,
@@ -622,7 +622,7 @@ def weather_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = sources.read_payload_object(
         spark, _weather_payloads(spark, sf_dir), WEATHER, "current_weather"
     )
-    raw = spark.table(_saved(spark, landed.withColumn("city", F.lit("Hanoi")), "weather_raw"))
+    raw = spark.table(_saved(spark, landed.withColumn("city", F.lit("here")), "weather_raw"))
     transformed = raw.select(
         "city",
         F.to_timestamp("time").cast("timestamp_ntz").alias("processed_timestamp"),
