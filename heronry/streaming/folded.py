@@ -46,9 +46,13 @@ class FoldedTable:
         if len(pending) >= self.fold_after:
             self.fold(batch_id - 1)
 
-    def read(self, before: int | None = None) -> DataFrame | None:
+    def part(self, batch_id: int) -> DataFrame:
+        """The rows of one batch."""
+        return self.spark.read.parquet(f"{self.parts}/batch_id={batch_id}")
+
+    def read(self, before: int | None = None, among: DataFrame | None = None) -> DataFrame | None:
         """One row per key from all batches, or from those with a number under ``before``; None if
-        there are none."""
+        there are none. ``among`` is a column of keys: others are dropped before rows are combined."""
         base = self._folded(before)
         paths = [f"{self.base}/batch_id={base}"] if base >= 0 else []
         paths += [
@@ -56,7 +60,14 @@ class FoldedTable:
             for n in committed(self.spark, self.parts, "batch_id")
             if n > base and (before is None or n < before)
         ]
-        return self.combine(self.spark.read.parquet(*paths)) if paths else None
+        if not paths:
+            return None
+        rows = self.spark.read.parquet(*paths)
+        if among is not None:
+            (key,) = among.columns
+            wanted = among.select(F.col(key).alias("__wanted"))
+            rows = rows.join(wanted, F.col(key).eqNullSafe(F.col("__wanted")), "left_semi")
+        return self.combine(rows)
 
     def fold(self, upto: int) -> None:
         """Write the base that contains every batch up to ``upto``. :meth:`put` leaves the newest batch

@@ -74,11 +74,12 @@ def running_average(
 
     def handle(batch: DataFrame, number: int) -> None:
         rows = stored_batch(spark, batch, f"{root}/in", number)
-        averaged = average_so_far(
-            rows, key, order, value, scale=scale, earlier=state.read(before=number), **options
-        )
-        write_version(averaged, f"{root}/out", number, "batch_id")
+        # Storing the totals first tells how large the batch's keys are, so that a small set of them
+        # is broadcast to the stored totals instead of shuffling those.
         state.put(key_totals(rows, key, value, scale), number)
+        earlier = state.read(before=number, among=state.part(number).select(key))
+        averaged = average_so_far(rows, key, order, value, scale=scale, earlier=earlier, **options)
+        write_version(averaged, f"{root}/out", number, "batch_id")
 
     return to_batches(stream, handle, checkpoint, trigger=trigger)
 

@@ -78,6 +78,9 @@ def test_totals_before_a_batch(spark, tmp_path):
     assert state.read(before=0) is None
     for before in (1, 2, 3, 4):
         assert state.read(before=before).first()["total_transactions"] == before
+    keys = spark.createDataFrame([(1,), (5,)], "customer_id bigint")
+    assert state.read(among=keys).first()["total_transactions"] == 4
+    assert state.read(among=keys.where("customer_id = 5")).count() == 0
 
 
 def test_failed_batch_is_done_again(spark, tmp_path):
@@ -108,7 +111,8 @@ def test_malformed_records_become_null_rows(spark, tmp_path):
 
 @pytest.mark.parametrize("piece_rows", [10**9, 20])
 def test_running_average_over_batches(spark, tmp_path, piece_rows):
-    rows = [(i, "hot" if i % 3 == 0 else f"s{i % 7}", i / 4) for i in range(300)]
+    sensor = lambda i: None if i % 11 == 0 else "hot" if i % 3 == 0 else f"s{i % 7}"
+    rows = [(i, sensor(i), i / 4) for i in range(300)]
     df = spark.createDataFrame(rows, "id bigint, sensor string, v double")
     for start in (0, 100, 200):
         publish(df.where(F.col("id").between(start, start + 99)), "parquet", f"{tmp_path}/topic")
