@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from heronry.llm.batches import WORDS, map_texts, utf8
+from heronry.llm.batches import WORDS, map_texts, pieces, utf8
 
 WINDOW_WORDS = 10
 # Bytes of benchmark text in a broadcast block; a larger benchmark is sent in several.
@@ -98,7 +98,7 @@ class SuffixArray:
     """
 
     def __init__(self, numbers: np.ndarray, bits: int, depth: int):
-        self.per_key = 63 // bits
+        self.per_key = 62 // bits
         self.bits, self.depth = bits, depth
         self.keys = self._packed(numbers)
         self.n = len(numbers)
@@ -289,8 +289,6 @@ def drop_contaminated(
     blocks = Blocks(benchmark, "item_id", item_text, WINDOW_WORDS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from heronry.llm.batches import pieces
-
         for piece in pieces(batches, text):
             bad = _scan(utf8(piece.column(text)), blocks)["contaminated"]
             yield piece.filter(pa.array(~bad))

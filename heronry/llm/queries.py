@@ -7,7 +7,18 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from heronry.llm import bpe, decontaminate, pseudonyms, simhash, toxicity
+from heronry.llm import (
+    bpe,
+    decontaminate,
+    divergence,
+    licences,
+    neighbours,
+    pseudonyms,
+    shards,
+    simhash,
+    toxicity,
+    warc,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -44,6 +55,22 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip_digests(table(spark, sf_dir, "documents"), tokenizer(spark))
 
 
+def op2_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(table(spark, sf_dir, "documents"))
+
+
+def op3_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.pack(table(spark, sf_dir, "documents")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pseudonyms.pseudonym_report(table(spark, sf_dir, "documents"), pseudonym_key(spark))
 
@@ -60,6 +87,12 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judged(table(spark, sf_dir, "documents")).drop(
+        "class_distance", "word_distance"
+    )
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     rows = toxicity.scored(docs, toxicity_model(spark, docs, sf_dir))
@@ -71,12 +104,32 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archived(table(spark, sf_dir, "pages"))
+
+
+def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(fold(3) != 1)
+    return neighbours.scored(docs, neighbours.train(docs, labels)).select(
+        "doc_id",
+        (fold(3) == 1).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_licences": op2_licences,
+    "op3_vector_packing": op3_vector_packing,
     "op4_pseudonyms": op4_pseudonyms,
     "op5_suffix_arrays": op5_suffix_arrays,
     "op6_simhash": op6_simhash,
+    "op7_divergence": op7_divergence,
     "op8_toxicity": op8_toxicity,
+    "op9_warc": op9_warc,
+    "op10_neighbours": op10_neighbours,
 }
 
 CONTAMINATION_SQL = r"""
@@ -114,6 +167,70 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
 """
 
+LICENCES_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id,
+    regexp_replace(regexp_replace(regexp_replace(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^a-z0-9\n]+', ' ', 'g'), ' *\n *', chr(10), 'g'), ' +', ' ', 'g') AS plain
+  FROM documents
+), passage AS (
+  SELECT DISTINCT r, trim(s) AS s FROM (
+    SELECT r, unnest(string_split(plain, chr(10))) AS s FROM doc
+    UNION ALL
+    SELECT r, replace(unnest(string_split_regex(plain, '\n\n+')), chr(10), ' ') FROM doc
+    UNION ALL
+    SELECT r, replace(plain, chr(10), ' ') FROM doc
+  )
+), split AS (
+  SELECT r, s, string_split(regexp_replace(s, ' +', ' ', 'g'), ' ') AS w FROM passage
+), pair AS (
+  SELECT DISTINCT r, s, w[i] || ' ' || w[i + 1] AS g
+  FROM split, unnest(generate_series(1, len(w) - 1)) AS t(i)
+), size AS (
+  SELECT r, s, count(*) AS n FROM pair GROUP BY r, s
+), template(name, g) AS (VALUES
+  {templates}
+), total AS (
+  SELECT name, count(*) AS n FROM template GROUP BY name
+), shared AS (
+  SELECT r, s, name, count(*) AS n FROM pair JOIN template USING (g) GROUP BY r, s, name
+), found AS (
+  SELECT shared.r, shared.s, shared.name, 2.0::DOUBLE * shared.n / (size.n + total.n) AS dice
+  FROM shared JOIN size ON shared.r = size.r AND shared.s = size.s JOIN total ON shared.name = total.name
+  WHERE 200 * shared.n >= {percent} * (size.n + total.n)
+), best AS (
+  SELECT r, arg_min(name, (-dice, name)) AS licence, max(dice) AS dice,
+    string_agg(DISTINCT name, ',' ORDER BY name) AS licences, count(DISTINCT s) AS n_passages
+  FROM found GROUP BY r
+)
+SELECT doc_id, licence, dice, coalesce(licences, '') AS licences,
+  CAST(coalesce(n_passages, 0) AS BIGINT) AS n_passages
+FROM doc LEFT JOIN best USING (r)
+""".format(
+    percent=licences.LEAST_PERCENT,
+    templates=",\n  ".join(
+        f"('{name}', '{gram}')"
+        for name, text in licences.TEMPLATES.items()
+        for gram in licences.template_bigrams(text)
+    ),
+)
+
+WARC_SQL = """
+WITH page AS (
+  SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+    sha256(coalesce(html, '')) AS payload_digest,
+    CASE WHEN strlen(html) >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS first_id
+  FROM pages
+)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN page_id <> first_id THEN first_id END AS refers_to
+FROM page
+"""
+
 ORACLES: dict[str, str] = {
+    "op2_licences": LICENCES_SQL,
     "op5_suffix_arrays": CONTAMINATION_SQL,
+    "op9_warc": WARC_SQL,
 }
