@@ -132,7 +132,8 @@ def licences(
             # Not evaluated outside the size bounds.
             score = F.when(fits, F.when(200 * shared >= percent * total, 2.0 * shared / total))
             found.append(F.struct(score.alias("dice"), F.lit(name).alias("name")))
-        return F.filter(F.array(*found), lambda m: m["dice"].isNotNull())
+        all_found = F.array(*found).cast("array<struct<dice:double,name:string>>")
+        return F.filter(all_found, lambda m: m["dice"].isNotNull())
 
     rows = rows.select("doc_id", F.filter(F.transform("passages", matches), lambda m: F.size(m) > 0).alias("m"))
     rows = rows.select("doc_id", F.size("m").alias("n"), F.flatten("m").alias("m"))
