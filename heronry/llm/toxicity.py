@@ -7,17 +7,16 @@ L1 term leaves few weights other than zero, so what the scoring tasks get is sma
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from heronry.llm.batches import WORDS, map_texts, utf8
+from heronry.llm.batches import WORDS, map_texts, pieces, utf8
 from heronry.session import materialize
 
 # Labelled rows of each class that are learned from; a larger class gives those with the smallest hash
@@ -25,7 +24,7 @@ from heronry.session import materialize
 MAX_ROWS_PER_CLASS = 8_000
 SHARDS = 8
 EPOCHS = 8
-# A feature is learned if so many training rows have it.
+# A feature is learned if so many rows of a shard have it.
 MIN_ROWS = 3
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 4.0, 0.0
 
@@ -53,6 +52,9 @@ class Model:
     weights: np.ndarray
     bias: float
 
+    def parts(self) -> tuple[np.ndarray, np.ndarray, float]:
+        return self.hashes, self.weights, self.bias
+
     def score(self, text: bytes) -> float:
         found, total = hashes(text), self.bias
         if len(self.hashes) and len(found):
@@ -102,22 +104,42 @@ def training_rows(
     return rows.join(F.broadcast(one.unionAll(other)), "doc_id")
 
 
-def _epoch(state: Broadcast) -> Callable[[pa.Table], pa.Table]:
-    """One pass over the rows of a shard: by how much it moves which coordinates of ``state``."""
-
-    def run(table: pa.Table) -> pa.Table:
-        known, z0, n0 = state.value
-        z, n = z0.copy(), n0.copy()
-        table = table.sort_by("doc_id")
-        places = []
-        for row in table["features"]:
-            found = row.values.to_numpy().view(np.uint32)
-            at = np.searchsorted(known, found)
-            hit = known[np.minimum(at, len(known) - 1)] == found if len(known) else at < 0
-            places.append(np.concatenate([[0], at[hit] + 1]))
-        learn(places, table["label"].to_pylist(), z, n)
-        moved = np.flatnonzero(n != n0)
-        return pa.table({"at": moved, "dz": (z - z0)[moved], "dn": (n - n0)[moved]})
+def _packed_shard(table: pa.Table) -> pa.Table:
+    """A shard's rows as one: the features that at least ``MIN_ROWS`` of its rows have, and for each row,
+    in the order of the ids, their places among them, all rows in a row; lengths; labels."""
+    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+    made = [np.unique(hashes(t)) for t in utf8(table["text"].combine_chunks())]
+    found, n = np.unique(np.concatenate(made), return_counts=True)
+    known = found[n >= MIN_ROWS]
+    places = [np.flatnonzero(np.isin(known, m, assume_unique=True)).astype(np.int32) for m in made]
+    parts = {
+        "known": known.astype("<u4"),
+        "places": np.concatenate(places).astype("<i4"),
+        "lengths": np.array([len(p) for p in places], "<i4"),
+        "labels": table["label"].to_numpy().astype("<i4"),
+    }
+    return pa.table({k: pa.array([v.tobytes()], pa.binary()) for k, v in parts.items()})
+
+
+def _epoch(state: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """One pass over each packed shard: by how much it moves which coordinates of ``state``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features, z0, n0 = state.value
+        for batch in batches:
+            for row in batch.to_pylist():
+                z, n = z0.copy(), n0.copy()
+                # Place 0 of the state is the bias.
+                at = np.searchsorted(features, np.frombuffer(row["known"], "<u4")) + 1
+                places = at[np.frombuffer(row["places"], "<i4")]
+                ends = np.cumsum(np.frombuffer(row["lengths"], "<i4"))[:-1]
+                rows = [np.concatenate([[0], p]) for p in np.split(places, ends)]
+                learn(rows, np.frombuffer(row["labels"], "<i4").tolist(), z, n)
+                moved = np.flatnonzero(n != n0)
+                parts = (moved.astype("<i8"), (z - z0)[moved], (n - n0)[moved])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([p.tobytes()], pa.binary()) for p in parts], names=["at", "dz", "dn"]
+                )
 
     return run
 
@@ -136,70 +158,47 @@ def train(
     labelled rows the model gives 0 to every text.
     """
     spark = docs.sparkSession
-    rows = training_rows(docs, labels, label_col, id_col, text, bound).withColumn(
-        "shard", F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
-    )
-
-    def hashed(piece: pa.RecordBatch) -> dict[str, object]:
-        made = [np.unique(hashes(t)).view(np.int32) for t in utf8(piece.column("text"))]
-        return {"features": pa.array(made, pa.list_(pa.int32()))}
-
-    sample = materialize(
-        map_texts(
-            rows,
-            hashed,
-            ["doc_id", "shard", "label"],
-            "doc_id long, shard int, label int, features array<int>",
-        ),
+    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
+    packed = materialize(
+        training_rows(docs, labels, label_col, id_col, text, bound)
+        .withColumn("shard", shard)
+        .repartition(SHARDS, "shard")
+        .groupBy("shard")
+        .applyInArrow(_packed_shard, "known binary, places binary, lengths binary, labels binary"),
         "training",
     )
-
-    def counted(table: pa.Table) -> pa.Table:
-        values = pc.list_flatten(table["features"]).to_numpy()
-        found, n = np.unique(values, return_counts=True)
-        return pa.table({"feature": found, "n": n})
-
-    frequent = (
-        sample.groupBy("shard")
-        .applyInArrow(counted, "feature int, n long")
-        .groupBy("feature")
-        .agg(F.sum("n").alias("n"))
-        .where(F.col("n") >= MIN_ROWS)
-        .select("feature")
-    )
-    # Bounded by the words of the bounded sample.
-    known = np.sort(frequent.toArrow()["feature"].to_numpy().astype(np.int32).view(np.uint32))
-    if sample.isEmpty():
-        return Model(known[:0], np.zeros(0, np.float32), -np.inf)
-    z, n = np.zeros(len(known) + 1), np.zeros(len(known) + 1)
+    # One row for each shard, of a size that the bounded sample bounds.
+    known = [np.frombuffer(r["known"], "<u4") for r in packed.select("known").toLocalIterator()]
+    if not known:
+        return Model(np.zeros(0, np.uint32), np.zeros(0, np.float32), -np.inf)
+    features = np.unique(np.concatenate(known))
+    z, n = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
     for _ in range(EPOCHS):
-        state = spark.sparkContext.broadcast((known, z, n))
-        moved = (
-            sample.groupBy("shard")
-            .applyInArrow(_epoch(state), "at long, dz double, dn double")
-            .groupBy("at")
-            .agg(F.avg("dz").alias("dz"), F.avg("dn").alias("dn"))
-            .toArrow()
-        )
-        at = moved["at"].to_numpy()
-        z[at] += moved["dz"].to_numpy()
-        n[at] += moved["dn"].to_numpy()
+        state = spark.sparkContext.broadcast((features, z, n))
+        dz, dn, shards = np.zeros(len(z)), np.zeros(len(z)), np.zeros(len(z))
+        for row in packed.mapInArrow(_epoch(state), "at binary, dz binary, dn binary").toLocalIterator(True):
+            at = np.frombuffer(row["at"], "<i8")
+            dz[at] += np.frombuffer(row["dz"], "<f8")
+            dn[at] += np.frombuffer(row["dn"], "<f8")
+            shards[at] += 1
+        z = z + dz / np.maximum(shards, 1)
+        n = n + dn / np.maximum(shards, 1)
         state.unpersist()
     l1 = np.full(len(z), L1)
     l1[0] = 0
     w = _weights(z, n, l1)
     used = np.flatnonzero(w[1:])
-    return Model(known[used], w[1:][used].astype(np.float32), float(w[0]))
+    return Model(features[used], w[1:][used].astype(np.float32), float(w[0]))
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, score) of every row: 0 to 1. A null text counts as empty and has the score of a text
     without words; repeated rows are each returned; an empty table gives no rows."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.parts())
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"))
 
     def add(piece: pa.RecordBatch) -> dict[str, object]:
-        score = sent.value.score
+        score = Model(*sent.value).score
         return {"score": np.array([score(t) for t in utf8(piece.column("text"))])}
 
     return map_texts(rows, add, ["doc_id"], "doc_id long, score double")
@@ -207,13 +206,11 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "t
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", bound: float = 0.5) -> DataFrame:
     """The rows of ``docs`` that score below ``bound``, with all columns, whatever their names."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def run(batches):
-        from heronry.llm.batches import pieces
-
         for piece in pieces(batches, text):
-            score = sent.value.score
+            score = Model(*sent.value).score
             yield piece.filter(pa.array([score(t) < bound for t in utf8(piece.column(text))], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
