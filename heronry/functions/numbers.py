@@ -5,13 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
+# Beyond this, a double cannot tell neighbouring units apart.
+MAX_UNITS = float(2**53)
+
+
 def in_units(value: Column, scale: int) -> Column:
-    """A fixed-point double as a whole number of ``10**-scale`` units.
+    """The whole number of ``10**-scale`` units nearest to a double; 0 for null, NaN, infinities and
+    values beyond ``MAX_UNITS``, which :func:`beyond_units` then holds as they are.
 
     ``rint`` on the scaled double is several times cheaper than a cast to decimal, which goes
     through the decimal text of every value.
     """
-    return F.rint(value * F.lit(float(10**scale))).cast("long")
+    scaled = value * F.lit(float(10**scale))
+    return F.when(F.abs(scaled) < MAX_UNITS, F.rint(scaled).cast("long")).otherwise(F.lit(0))
+
+
+# A product of fixed-point doubles is off by a few units in the last place; this share of a value counts
+# as such an error and not as further decimals.
+ROUNDING = 2.0**-50
+
+
+def beyond_units(value: Column, scale: int) -> Column:
+    """What a double holds beyond its whole units: exactly 0 for a fixed-point value and for a product
+    of such values, null for null."""
+    rest = value - in_units(value, scale) / F.lit(float(10**scale))
+    return F.when(F.abs(rest) < F.abs(value) * ROUNDING, F.lit(0.0)).otherwise(rest)
 
 
 # Units are summed in two parts, so that neither sum can outgrow a bigint before a group has some
@@ -20,7 +38,7 @@ LOW_BITS = 20
 
 
 def exact_total(value: Column, scale: int = 2) -> Column:
-    """Sum of a fixed-point double as decimal units; the order of rows cannot change it.
+    """Sum of the whole units of a double; the order of rows cannot change it.
 
     Two bigint sums are combined at the end: as exact as a decimal sum, nearly as cheap as a double
     one, and a third narrower in the shuffle.
@@ -31,18 +49,25 @@ def exact_total(value: Column, scale: int = 2) -> Column:
     return high * F.lit(2**LOW_BITS).cast("decimal(7,0)") + low
 
 
-def from_units(units: Column, scale: int = 2) -> Column:
-    """Units back to a double."""
-    return units.cast("double") / F.lit(float(10**scale))
+def rest_total(value: Column, scale: int = 2) -> Column:
+    """Sum of what the values hold beyond their whole units; null for a group without any value."""
+    return F.sum(beyond_units(value, scale))
+
+
+def from_units(units: Column, scale: int = 2, rest: Column | None = None) -> Column:
+    """Units, and what lies beyond them, back to a double."""
+    whole = units.cast("double") / F.lit(float(10**scale))
+    return whole if rest is None else whole + rest
 
 
 def exact_sum(value: Column, scale: int = 2) -> Column:
-    """Order-independent SUM of a column that holds at most ``scale`` decimals."""
-    return from_units(exact_total(value, scale), scale)
+    """SUM of a double column. Nothing is rounded; as far as the values have at most ``scale`` decimals
+    the order of rows cannot change the result."""
+    return from_units(exact_total(value, scale), scale, rest_total(value, scale))
 
 
 def exact_avg(value: Column, scale: int = 2) -> Column:
-    """Order-independent AVG over the non-null values; null for a group without any."""
+    """AVG over the non-null values, summed as by :func:`exact_sum`; null for a group without any."""
     return F.try_divide(exact_sum(value, scale), F.count(value))
 
 
@@ -61,11 +86,21 @@ def percentage(part: Column, whole: Column) -> Column:
     return F.round(F.try_divide(part, whole) * 100, 2)
 
 
+# Decimals of a rate that are counted in whole units.
+RATE_SCALE = 6
+
+
 def discount_amount(unit_price: Column, rate: Column, quantity: Column) -> Column:
-    """Absolute discount for a line to the cent, half a cent upwards. Price and rate have two
-    decimals; whole units keep a product such as 0.285 from ending up just below the half."""
-    product = in_units(unit_price, 2) * in_units(rate, 2) * quantity
-    return from_units(F.floor((product + 50) / 100))
+    """Absolute discount for a line to the cent, half a cent upwards.
+
+    Prices of two and rates of up to six decimals are multiplied as whole units, which keeps a
+    product such as 0.285 from ending up just below the half; all others as doubles.
+    """
+    fixed = (beyond_units(unit_price, 2) == 0) & (beyond_units(rate, RATE_SCALE) == 0)
+    product = in_units(unit_price, 2).cast("decimal(18,0)") * in_units(rate, RATE_SCALE) * quantity
+    cent = 10**RATE_SCALE
+    whole = F.floor((product + F.lit(cent // 2)) / F.lit(cent).cast("decimal(7,0)"))
+    return F.when(fixed, from_units(whole)).otherwise(F.round(unit_price * rate * quantity, 2))
 
 
 def net_of_amount(gross: Column, discount: Column) -> Column:

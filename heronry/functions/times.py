@@ -12,6 +12,11 @@ def to_moment(text: Column, pattern: str | None = None) -> Column:
     return F.try_to_timestamp(text, F.lit(pattern)) if pattern else F.try_to_timestamp(text)
 
 
+def from_epoch(seconds: Column) -> Column:
+    """Epoch seconds, as records carry them, to a time; null for null."""
+    return F.timestamp_seconds(seconds)
+
+
 def month_key(moment: Column) -> Column:
     """Calendar month as ``yyyy-MM``."""
     return F.date_format(moment, "yyyy-MM")

@@ -15,6 +15,7 @@ from heronry.functions.numbers import (
     net_of_amount,
     net_of_rate,
     percentage,
+    rest_total,
     to_number,
 )
 from heronry.functions.times import days_since, month_key
@@ -35,6 +36,19 @@ def totals(
     return df.groupBy(*keys).agg(*measures)
 
 
+def subtotals(df: DataFrame, keys: list[str], value: str, scale: int = 2) -> DataFrame:
+    """Sums by ``keys`` in a form that adds up exactly; :func:`finish_subtotals` ends it."""
+    return df.groupBy(*keys).agg(
+        exact_total(F.col(value), scale).alias("units"), rest_total(F.col(value), scale).alias("rest")
+    )
+
+
+def finish_subtotals(df: DataFrame, keys: list[str], name: str, scale: int = 2) -> DataFrame:
+    """Add up :func:`subtotals` by other keys, for example after a join with the attributes of the first."""
+    total = from_units(F.sum("units"), scale, F.sum("rest"))
+    return df.groupBy(*keys).agg(total.alias(name))
+
+
 def whole_totals(df: DataFrame, keys: list[str], sums: dict[str, str]) -> DataFrame:
     """Sums of whole-number columns by key."""
     return df.groupBy(*keys).agg(*[F.sum(c).cast("bigint").alias(n) for n, c in sums.items()])
@@ -68,16 +82,26 @@ def conversion(df: DataFrame, key: str, closed: str = "closed") -> DataFrame:
 
 # --- customer metrics -------------------------------------------------------------------------
 #
-# Counters are kept as decimal units with four decimals until the very end, so subtotals of any
-# split of the transactions add up to the same totals.
+# Money is kept as units of four decimals, and what lies beyond them, until the very end, so subtotals of
+# any split of the transactions add up to the same totals.
 
 METRIC_SCALE = 4
-COUNTERS = ["total_transactions", "purchased_units", "total_items_purchased", "discount_units"]
-
-
-def metric_parts(transactions: DataFrame, key: str, discount: str) -> DataFrame:
+COUNTERS = [
+    "total_transactions",
+    "purchased_units",
+    "purchased_rest",
+    "total_items_purchased",
+    "discount_units",
+    "discount_rest",
+]
+
+
+def metric_parts(
+    transactions: DataFrame, key: str | list[str], discount: str, date: str | None = "transaction_date"
+) -> DataFrame:
     """Additive counters per ``key``. ``discount`` says what ``discount_applied`` holds:
-    a ``rate`` (fraction of the gross amount) or an ``amount``."""
+    a ``rate`` (fraction of the gross amount) or an ``amount``. Without a ``date`` the latest one is
+    left out."""
     gross, applied = F.col("gross_amount"), F.col("discount_applied")
     if discount == "rate":
         net, saved = net_of_rate(gross, applied), gross * applied
@@ -85,19 +109,22 @@ def metric_parts(transactions: DataFrame, key: str, discount: str) -> DataFrame:
         net, saved = net_of_amount(gross, applied), applied
     else:
         raise ValueError(f"discount must be 'rate' or 'amount', not {discount!r}")
-    return transactions.groupBy(key).agg(
+    latest = [F.max(date).alias("last_update_time")] if date else []
+    return transactions.groupBy(*([key] if isinstance(key, str) else key)).agg(
         F.count("transaction_id").alias("total_transactions"),
         exact_total(net, METRIC_SCALE).alias("purchased_units"),
+        rest_total(net, METRIC_SCALE).alias("purchased_rest"),
         F.sum("quantity").alias("total_items_purchased"),
         exact_total(saved, METRIC_SCALE).alias("discount_units"),
-        F.max("transaction_date").alias("last_update_time"),
+        rest_total(saved, METRIC_SCALE).alias("discount_rest"),
+        *latest,
     )
 
 
-def add_parts(parts: DataFrame, key: str) -> DataFrame:
-    """Add up counters of the same key; the result has the columns of ``parts``."""
+def add_parts(parts: DataFrame, *keys: str) -> DataFrame:
+    """Add up counters of the same keys; the result has the columns of ``parts``."""
     sums = [F.sum(c).cast(parts.schema[c].dataType).alias(c) for c in COUNTERS]
-    return parts.groupBy(key).agg(*sums, F.max("last_update_time").alias("last_update_time"))
+    return parts.groupBy(*keys).agg(*sums, F.max("last_update_time").alias("last_update_time"))
 
 
 def finish_metrics(parts: DataFrame, as_of: date) -> DataFrame:
@@ -105,9 +132,13 @@ def finish_metrics(parts: DataFrame, as_of: date) -> DataFrame:
     return parts.select(
         "customer_id",
         "total_transactions",
-        from_units(F.col("purchased_units"), METRIC_SCALE).alias("total_purchased"),
+        from_units(F.col("purchased_units"), METRIC_SCALE, F.col("purchased_rest")).alias(
+            "total_purchased"
+        ),
         "total_items_purchased",
-        from_units(F.col("discount_units"), METRIC_SCALE).alias("total_discounts_received"),
+        from_units(F.col("discount_units"), METRIC_SCALE, F.col("discount_rest")).alias(
+            "total_discounts_received"
+        ),
         days_since(as_of, F.col("last_update_time")).alias("days_since_last_purchase"),
         "last_update_time",
     )
@@ -116,3 +147,23 @@ def finish_metrics(parts: DataFrame, as_of: date) -> DataFrame:
 def customer_metrics(transactions: DataFrame, as_of: date, discount: str) -> DataFrame:
     """Transactions, net purchases, items, discounts and recency per customer."""
     return finish_metrics(metric_parts(transactions, "customer_id", discount), as_of)
+
+
+def metrics_of_orders(
+    lines: DataFrame, orders: DataFrame, as_of: date, discount: str
+) -> DataFrame:
+    """:func:`customer_metrics` of order lines whose customer and date are those of their order.
+
+    Lines are combined per order first: the join with the orders needs them by order anyway, and then
+    moves one row for each order instead of each line. Lines without an order are left out.
+    """
+    return finish_metrics(add_parts(parts_of_orders(lines, orders, discount), "customer_id"), as_of)
+
+
+def parts_of_orders(lines: DataFrame, orders: DataFrame, discount: str) -> DataFrame:
+    """Additive counters of each order, with its customer and date."""
+    parts = metric_parts(lines, "transaction_id", discount, date=None)
+    dated = orders.select(
+        "transaction_id", "customer_id", F.col("transaction_date").alias("last_update_time")
+    )
+    return parts.join(dated, "transaction_id").drop("transaction_id")

@@ -3,8 +3,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from heronry.functions.numbers import exact_sum
+from heronry.operators.aggregates import METRIC_SCALE
 from heronry.operators.ranking import latest_per_key
 
 
@@ -16,28 +18,36 @@ def merge_additive(
     recency: list[str],
     newest_by: str,
     keep_newest: bool = True,
+    scale: int = METRIC_SCALE,
 ) -> DataFrame:
     """Add a batch of metrics to a keyed table.
 
-    Keys in both: counters are added (an unknown counter counts as 0) and recency columns replaced.
-    Keys only in the batch are inserted. With ``keep_newest`` the recency columns of the side with
-    the later ``newest_by`` win, so a late batch does not set the clock back; without it the batch
-    always wins.
+    Keys in both: counters are added (an unknown counter counts as 0; doubles as by
+    :func:`heronry.functions.numbers.exact_sum`) and recency columns replaced. Keys only in the batch are
+    inserted. With ``keep_newest`` the recency columns of the side with the later ``newest_by`` win, so a
+    late batch does not set the clock back; of equal ones, the side with the larger recency columns, so
+    the order of the arguments does not matter. Without it the batch always wins. All recency columns of
+    a key come from one side.
 
     A union and one aggregation do it in one shuffle, and partial sums absorb hot keys.
     """
     columns = [key, *counters, *recency]
-    side = F.col("__batch")
     both = table.select(*columns, F.lit(0).alias("__batch")).unionByName(
         batch.select(*columns, F.lit(1).alias("__batch"))
     )
-    winner = F.col(newest_by) if keep_newest else side
-    return both.groupBy(key).agg(
-        *[
-            F.coalesce(F.sum(c), F.lit(0)).cast(table.schema[c].dataType).alias(c)
-            for c in counters
-        ],
-        *[F.max_by(c, winner).alias(c) for c in recency],
+    order = F.col(newest_by) if keep_newest else F.col("__batch")
+    # Null sorts below every time.
+    winner = F.max(F.struct(order.alias("__order"), *[F.col(c) for c in recency])).alias("__winner")
+
+    def added(c: str) -> Column:
+        if isinstance(table.schema[c].dataType, T.DoubleType):
+            return F.coalesce(exact_sum(F.col(c), scale), F.lit(0.0)).alias(c)
+        return F.coalesce(F.sum(c), F.lit(0)).cast(table.schema[c].dataType).alias(c)
+
+    return (
+        both.groupBy(key)
+        .agg(*[added(c) for c in counters], winner)
+        .select(key, *counters, *[F.col(f"__winner.{c}").alias(c) for c in recency])
     )
 
 

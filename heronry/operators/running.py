@@ -5,18 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.window import WindowSpec
 
-from heronry.functions.numbers import exact_total, from_units, in_units
+from heronry.functions.numbers import beyond_units, exact_total, from_units, in_units, rest_total
 from heronry.session import materialize
 
-# A key with more rows than this is cut into pieces that are summed in parallel.
-PIECE_ROWS = 2_000_000
-# Upper bound for the number of pieces, which bounds everything that is broadcast here.
-MAX_PIECES = 50_000
-
-# What a row adds to the sum and to the count of its key, and whether it is a row of the caller (1)
-# or the totals its key starts from (0).
-_UNITS, _WEIGHT, _TURN = "__units", "__weight", "__turn"
-_SUM, _COUNT = "__running_units", "running_count"
+# What a row adds to the sum (whole units, and what lies beyond them) and to the count of its key, and
+# whether it is a row of the caller (1) or the totals its key starts from (0).
+_UNITS, _REST, _WEIGHT, _TURN = "__units", "__rest", "__weight", "__turn"
+_ADDED = {_UNITS: "__running_units", _REST: "__running_rest", _WEIGHT: "running_count"}
 
 
 def running_totals(
@@ -25,14 +20,14 @@ def running_totals(
     order: list[str],
     value: str,
     scale: int = 2,
-    piece_rows: int = PIECE_ROWS,
     earlier: DataFrame | None = None,
 ) -> DataFrame:
     """``df`` with ``running_sum`` and ``running_count`` up to and including each row of its key.
 
-    ``order`` must be a total order within a key. Ordinary keys take one window. A hot key would
-    put all its rows in one task, so its rows are range-partitioned by order into pieces; each
-    piece is summed on its own and the totals of the earlier pieces are added.
+    ``order`` must be a total order within a key. All rows are range-partitioned by key and order, so
+    a key with very many rows lies in several partitions. Each partition is summed on its own; the keys
+    that go on from one partition into the next are at most as many as there are partitions, and their
+    totals of earlier partitions are added. ``df`` is evaluated once.
 
     ``earlier`` holds totals to start from, as :func:`key_totals` gives them. They go through the
     same window as first rows of their keys, which saves a join.
@@ -40,6 +35,7 @@ def running_totals(
     steps = df.withColumns(
         {
             _UNITS: in_units(F.col(value), scale).cast("decimal(18,0)"),
+            _REST: beyond_units(F.col(value), scale),
             _WEIGHT: F.col(value).isNotNull().cast("bigint"),
             _TURN: F.lit(1),
         }
@@ -48,15 +44,14 @@ def running_totals(
         start = earlier.select(
             key,
             F.col("total_units").alias(_UNITS),
+            F.col("total_rest").alias(_REST),
             F.col("total_count").alias(_WEIGHT),
             F.lit(0).alias(_TURN),
         )
         steps = steps.unionByName(start, allowMissingColumns=True)
-    return (
-        _summed(steps, df, key, [_TURN, *order], piece_rows)
-        .where(F.col(_TURN) == 1)
-        .select(*df.columns, from_units(F.col(_SUM), scale).alias("running_sum"), _COUNT)
-    )
+    summed = _summed(steps, key, [_TURN, *order]).where(F.col(_TURN) == 1)
+    total = from_units(F.col(_ADDED[_UNITS]), scale, F.col(_ADDED[_REST]))
+    return summed.select(*df.columns, total.alias("running_sum"), _ADDED[_WEIGHT])
 
 
 def running_average(df: DataFrame, key: str, order: list[str], value: str, **options) -> DataFrame:
@@ -71,6 +66,7 @@ def key_totals(df: DataFrame, key: str, value: str, scale: int = 2) -> DataFrame
     """Total and count of each key, in the form :func:`running_totals` can start from."""
     return df.groupBy(key).agg(
         exact_total(F.col(value), scale).alias("total_units"),
+        rest_total(F.col(value), scale).alias("total_rest"),
         F.count(value).alias("total_count"),
     )
 
@@ -80,72 +76,41 @@ def add_key_totals(totals: DataFrame, key: str) -> DataFrame:
     return totals.groupBy(key).agg(
         *[
             F.sum(c).cast(totals.schema[c].dataType).alias(c)
-            for c in ("total_units", "total_count")
+            for c in ("total_units", "total_rest", "total_count")
         ]
     )
 
 
-def _summed(
-    steps: DataFrame, df: DataFrame, key: str, order: list[str], piece_rows: int
-) -> DataFrame:
-    # Sizes come from the caller's rows: the start adds one row per key at most.
-    rows = df.count()
-    piece_rows = max(piece_rows, -(-rows // MAX_PIECES))
-    if rows <= piece_rows:
-        return _within(steps, [key], order)
-    hot = materialize(
-        df.groupBy(F.col(key).alias("__hot"))
-        .agg(F.count("*").alias("__rows"))
-        .where(F.col("__rows") > piece_rows),
-        "hot-keys",
-    )
-    pieces = hot.agg(F.sum(F.ceil(F.col("__rows") / piece_rows))).first()[0]
-    if pieces is None:
-        return _within(steps, [key], order)
-    # No more than MAX_PIECES keys can have over rows / MAX_PIECES rows each.
-    few, is_hot = F.broadcast(hot.select("__hot")), F.col(key).eqNullSafe(F.col("__hot"))
-    cold = _within(steps.join(few, is_hot, "left_anti"), [key], order)
-    return cold.unionByName(
-        _in_pieces(steps.join(few, is_hot, "left_semi"), key, order, int(pieces))
-    )
-
-
 def _so_far(partition: list[str], order: list[str], last: int) -> WindowSpec:
     window = Window.partitionBy(*partition).orderBy(*order)
     return window.rowsBetween(Window.unboundedPreceding, last)
 
 
-def _within(steps: DataFrame, partition: list[str], order: list[str]) -> DataFrame:
-    so_far = _so_far(partition, order, Window.currentRow)
-    return steps.withColumns(
-        {_SUM: F.sum(_UNITS).over(so_far), _COUNT: F.sum(_WEIGHT).over(so_far)}
-    )
-
-
-def _in_pieces(steps: DataFrame, key: str, order: list[str], pieces: int) -> DataFrame:
+def _summed(steps: DataFrame, key: str, order: list[str]) -> DataFrame:
     # Stored, because the cut points come from a sample and must be the same for both uses below.
     cut = materialize(
-        steps.repartitionByRange(pieces, key, *order).withColumn("__piece", F.spark_partition_id()),
+        steps.repartitionByRange(key, *order).withColumn("__piece", F.spark_partition_id()),
         "running-pieces",
     )
-    local = _within(cut, [key, "__piece"], order)
+    so_far = _so_far([key, "__piece"], order, Window.currentRow)
+    local = cut.withColumns({name: F.sum(c).over(so_far) for c, name in _ADDED.items()})
     before = _so_far(["__key"], ["__of"], -1)
-    # One row per key and piece it touches: pieces are ranges, so at most pieces + keys rows.
+    pieces = F.count(F.lit(1)).over(Window.partitionBy("__key"))
+    # Of the keys in more than one piece there are fewer than pieces, and no more rows than two a piece.
     carried = (
         cut.groupBy(F.col(key).alias("__key"), F.col("__piece").alias("__of"))
-        .agg(F.sum(_UNITS).alias("__sum"), F.sum(_WEIGHT).alias("__count"))
-        .select(
-            "__key",
-            "__of",
-            F.sum("__sum").over(before).alias("__sum_before"),
-            F.sum("__count").over(before).alias("__count_before"),
-        )
+        .agg(*[F.sum(c).alias(c) for c in _ADDED])
+        .withColumn("__pieces", pieces)
+        .where(F.col("__pieces") > 1)
+        .select("__key", "__of", *[F.sum(c).over(before).alias(f"{c}_before") for c in _ADDED])
     )
     same_piece = F.col(key).eqNullSafe(F.col("__key")) & (F.col("__piece") == F.col("__of"))
     return local.join(F.broadcast(carried), same_piece, "left").select(
         *steps.columns,
-        _plus(_SUM, "__sum_before").cast(local.schema[_SUM].dataType).alias(_SUM),
-        _plus(_COUNT, "__count_before").alias(_COUNT),
+        *[
+            _plus(name, f"{c}_before").cast(local.schema[name].dataType).alias(name)
+            for c, name in _ADDED.items()
+        ],
     )
 
 

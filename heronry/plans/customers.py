@@ -11,9 +11,10 @@ from heronry.functions.mappings import churn_band
 from heronry.functions.numbers import discount_amount, net_of_amount, net_of_rate
 from heronry.plans import sql
 from heronry.plans.registry import query
-from heronry.plans.views import AS_OF, table, transactions
-from heronry.session import fresh_path, is_complete
-from heronry.sinks.files import write_partitioned
+from heronry.plans.views import AS_OF, dated_orders, order_lines, table, transactions
+from heronry.session import file_state, fresh_path, is_complete
+from heronry.sinks.files import write_csv, write_partitioned
+from heronry.sources.files import read_csv
 
 METRICS = """customer_id bigint, total_transactions bigint, total_purchased double,
     total_items_purchased bigint, total_discounts_received double, days_since_last_purchase int,
@@ -26,19 +27,26 @@ SOME_CUSTOMER = 42
 
 @query("agg_customer_metrics_pct", f"WITH {sql.METRICS} SELECT * FROM metrics")
 def metrics_by_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.customer_metrics(transactions(spark, sf_dir), AS_OF, "rate")
+    return aggregates.metrics_of_orders(
+        order_lines(spark, sf_dir), dated_orders(spark, sf_dir), AS_OF, "rate"
+    )
 
 
-_stored: dict[tuple[str, str], str] = {}
+# Where the metrics of which input files are stored.
+_stored: dict[tuple, str] = {}
 
 
 def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The customer metrics as a stored table, which is what the reports read.
 
-    Built once per session and kept in the shared folder, sorted by customer inside its files, so a
-    report costs a scan of the metrics and not another join of all order lines.
+    Built once for each state of the input files and kept in the shared folder, sorted by customer
+    inside its files, so a report costs a scan of the metrics and not another join of all order lines.
+    Files that were added or rewritten make a new table.
     """
-    known = (spark.sparkContext.applicationId, sf_dir)
+    known = (
+        spark.sparkContext.applicationId,
+        *(file_state(spark, f"{sf_dir}/{name}.parquet") for name in ("lineitem", "orders")),
+    )
     if known not in _stored or not is_complete(spark, _stored[known]):
         path = fresh_path(spark, "customer-metrics")
         metrics_by_rate(spark, sf_dir).sortWithinPartitions("customer_id").write.parquet(path)
@@ -48,7 +56,9 @@ def metrics_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("agg_customer_metrics_abs", f"WITH {sql.METRICS_AMOUNT} SELECT * FROM metrics")
 def metrics_by_amount(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return aggregates.customer_metrics(transactions(spark, sf_dir, "amount"), AS_OF, "amount")
+    return aggregates.metrics_of_orders(
+        order_lines(spark, sf_dir, "amount"), dated_orders(spark, sf_dir), AS_OF, "amount"
+    )
 
 
 @query(
@@ -239,7 +249,10 @@ def report_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
     ORDER BY total_purchased DESC, customer_id LIMIT 100""",
 )
 def report_export(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.export_report(metrics_table(spark, sf_dir), 100)
+    """The customer report as one CSV file, read back."""
+    path, report = fresh_path(spark, "export"), reports.export_report(metrics_table(spark, sf_dir), 100)
+    write_csv(report, path, single=True)
+    return read_csv(spark, path, report.schema)
 
 
 @query(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heronry.operators import aggregates, filters
@@ -67,5 +69,8 @@ def high_value_users(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("proj_processing_time", "SELECT event_id, value, TRUE AS stamped FROM events")
 def stamped_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stamped rows; ``stamped`` tells whether the stamp lies between the making of the query and its end."""
+    made = F.lit(datetime.now(timezone.utc))
     rows = stamp(table(spark, sf_dir, "events").select("event_id", "value"))
-    return rows.select("event_id", "value", F.col("processing_time").isNotNull().alias("stamped"))
+    stamped = F.col("processing_time").between(made, F.current_timestamp())
+    return rows.select("event_id", "value", stamped.alias("stamped"))

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from heronry.functions.mappings import weather_condition
 from heronry.functions.numbers import to_number, to_whole_number
 from heronry.functions.texts import clean_names
-from heronry.functions.times import month_key, to_moment, week_from_first_monday, weekday_from_monday
+from heronry.functions.times import from_epoch, month_key, to_moment, week_from_first_monday, weekday_from_monday
 from heronry.operators import aggregates, filters, joins, projections, ranking
 from heronry.plans import sql
 from heronry.plans.registry import plain, query
@@ -249,7 +249,7 @@ def star_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ENRICHED_SQL = f"""WITH {RAW_ORDERS} SELECT order_id, customer_id,
-    CASE WHEN c_mktsegment <> 'MACHINERY' THEN c_name END AS customer_name, quantity, price,
+    c_name AS customer_name, quantity, price,
     order_timestamp FROM raw_orders LEFT JOIN customer ON customer_id = c_custkey
     WHERE order_id IS NOT NULL AND quantity > 0"""
 
@@ -340,10 +340,10 @@ def category_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     dated = sales(spark, sf_dir).select(
         "product_id", "revenue", F.year(day).alias("year"), F.month(day).alias("month")
     )
-    return aggregates.totals(
-        dated.join(items, "product_id", "left"),
-        ["year", "month", "category"],
-        {"total_revenue": "revenue"},
+    # Sales are combined by product before they are given a category.
+    sold = aggregates.subtotals(dated, ["product_id", "year", "month"], "revenue")
+    return aggregates.finish_subtotals(
+        sold.join(items, "product_id", "left"), ["year", "month", "category"], "total_revenue"
     ).orderBy("year", "month", "category")
 
 
@@ -520,16 +520,16 @@ def segments_in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def categories_by_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = products(spark, sf_dir).select("product_id", "category")
-    sold = sales(spark, sf_dir).select("product_id", "revenue").join(items, "product_id", "left")
-    return ranking.descending(
-        aggregates.totals(sold, ["category"], {"total_revenue": "revenue"}),
-        "total_revenue",
-        "category",
+    sold = aggregates.subtotals(sales(spark, sf_dir), ["product_id"], "revenue")
+    grouped = aggregates.finish_subtotals(
+        sold.join(items, "product_id", "left"), ["category"], "total_revenue"
     )
+    return ranking.descending(grouped, "total_revenue", "category")
 
 
 # --- scalar functions -------------------------------------------------------------------------
 
+# The weather codes of functions/mappings.py, for the check.
 WEATHER_SQL = """CASE WHEN code = 0 THEN 'Clear sky' WHEN code IN (1, 2, 3) THEN 'Partly cloudy'
     WHEN code IN (45, 48) THEN 'Fog' WHEN code IN (51, 53, 55) THEN 'Drizzle'
     WHEN code IN (56, 57) THEN 'Freezing drizzle' WHEN code IN (61, 63, 65) THEN 'Rain'
@@ -577,7 +577,8 @@ def coerced(spark: SparkSession, sf_dir: str) -> DataFrame:
     CAST(isodow(ts) - 1 AS INTEGER) AS day_of_week,
     CAST(strftime(ts, '%W') AS INTEGER) AS week_of_year,
     CAST(month(ts) AS INTEGER) AS month_of_year, strftime(ts, '%Y-%m') AS month_key,
-    strftime(ts, '%Y/%m/%d/%H%M') AS run_folder FROM events""",
+    strftime(ts, '%Y/%m/%d/%H%M') AS run_folder,
+    date_trunc('second', ts) AS from_epoch FROM events""",
 )
 def time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     ts = F.col("ts")
@@ -589,6 +590,7 @@ def time_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.month(ts).alias("month_of_year"),
         month_key(ts).alias("month_key"),
         F.date_format(ts, "yyyy/MM/dd/HHmm").alias("run_folder"),
+        from_epoch(F.unix_seconds(ts.cast("timestamp"))).cast("timestamp_ntz").alias("from_epoch"),
     )
 
 

@@ -24,7 +24,9 @@ from heronry.plans.sales import (
 )
 from heronry.plans.views import (
     AS_OF,
+    dated_orders,
     opportunities,
+    order_lines,
     products,
     raw_customers,
     raw_orders,
@@ -32,7 +34,7 @@ from heronry.plans.views import (
     table,
     transactions,
 )
-from heronry.session import fresh_path
+from heronry.session import fresh_path, materialize
 from heronry.sinks import files as sinks, versions
 from heronry.sources import files as sources
 
@@ -68,10 +70,10 @@ def csv_declared(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "src_csv_strings",
     f"""{PRODUCTS} SELECT CAST(product_id AS VARCHAR) AS product_id, product_name, brand, category,
-    CAST(stock AS VARCHAR) AS stock, availability FROM products""",
+    CAST(price AS VARCHAR) AS price, CAST(stock AS VARCHAR) AS stock, availability FROM products""",
 )
 def csv_strings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.read_csv_text(spark, _products_csv(spark, sf_dir)).drop("price")
+    return sources.read_csv_text(spark, _products_csv(spark, sf_dir))
 
 
 @query(
@@ -103,7 +105,8 @@ def payload_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 WEATHER = """latitude double, longitude double, elevation double, current_weather
-    struct<time: string, temperature: double, windspeed: double, is_day: int, weathercode: int>"""
+    struct<time: string, temperature: double, windspeed: double, winddirection: double, is_day: int,
+    weathercode: int>"""
 
 
 def _weather_payloads(spark: SparkSession, sf_dir: str) -> str:
@@ -114,6 +117,7 @@ def _weather_payloads(spark: SparkSession, sf_dir: str) -> str:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("time"),
         F.col("value").alias("temperature"),
         F.when(F.col("event_type") != "signup", F.col("value") / 2).alias("windspeed"),
+        (F.col("user_id") % 360).cast("double").alias("winddirection"),
         (F.hour("ts").between(6, 18)).cast("int").alias("is_day"),
         code.alias("weathercode"),
     )
@@ -129,6 +133,7 @@ def _weather_payloads(spark: SparkSession, sf_dir: str) -> str:
     "src_json_nested_obj",
     """SELECT strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS time, value AS temperature,
     CASE WHEN event_type <> 'signup' THEN value / 2 END AS windspeed,
+    CAST(user_id % 360 AS DOUBLE) AS winddirection,
     CAST(hour(ts) BETWEEN 6 AND 18 AS INTEGER) AS is_day,
     CAST(json_extract(props, '$.k') AS INTEGER) AS weathercode,
     CAST(user_id AS DOUBLE) AS latitude, CAST(10.25 AS DOUBLE) AS longitude,
@@ -153,9 +158,19 @@ def _saved(spark: SparkSession, df: DataFrame, label: str) -> str:
     return name
 
 
+def _through_catalog(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
+    """Save as a table, read it by name, and take the name out of the catalog again. The table is an
+    external one, so its files stay for the readers."""
+    name = _saved(spark, df, label)
+    rows = sources.read_table(spark, name)
+    rows.schema  # resolved before the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return rows
+
+
 @query("src_managed_table", "SELECT * FROM orders")
 def managed_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.read_table(spark, _saved(spark, table(spark, sf_dir, "orders"), "orders_saved"))
+    return _through_catalog(spark, table(spark, sf_dir, "orders"), "orders_saved")
 
 
 SEPARATOR = "\x1e"
@@ -201,7 +216,7 @@ def _user_versions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFra
         F.col("c_mktsegment").alias("email"),
         F.col("c_acctbal").alias("age"),
     )
-    second = F.col("age") >= 5000
+    second = F.coalesce(F.col("age") >= 5000, F.lit(False))
     return customer.where(~second).drop("age"), customer.where(second)
 
 
@@ -267,7 +282,9 @@ def fitted(spark: SparkSession, sf_dir: str) -> DataFrame:
     UNION ALL SELECT 'incomplete', COUNT(*) FROM raw_orders WHERE order_id IS NULL""",
 )
 def required(spark: SparkSession, sf_dir: str) -> DataFrame:
-    complete, rest = schemas.require(raw_orders(spark, sf_dir), "order_id")
+    # Stored first, so that both counts read one result of the join.
+    stored = materialize(raw_orders(spark, sf_dir).select("order_id"), "raw-orders")
+    complete, rest = schemas.require(stored, "order_id")
     size = lambda df, part: df.agg(F.lit(part).alias("part"), F.count("*").alias("row_count"))
     return size(complete, "complete").unionByName(size(rest, "incomplete"))
 
@@ -300,7 +317,7 @@ STAGES_SQL = f"""{OPP} SELECT region, stage, CAST(SUM(weighted) AS DOUBLE) AS to
 @query("snk_csv_single", STAGES_SQL)
 def single_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "single-csv")
-    sinks.write_csv_single(revenue_by_stage(spark, sf_dir), path)
+    sinks.write_csv(revenue_by_stage(spark, sf_dir), path, single=True)
     return sources.read_csv(spark, path, STAGES)
 
 
@@ -322,7 +339,7 @@ def run_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("snk_managed_table", STAGES_SQL)
 def saved_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sources.read_table(spark, _saved(spark, revenue_by_stage(spark, sf_dir), "stages"))
+    return _through_catalog(spark, revenue_by_stage(spark, sf_dir), "stages")
 
 
 @query("snk_table_overwrite", STAGES_SQL)
@@ -344,7 +361,7 @@ def relational_replace(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("snk_table_append", "SELECT * FROM events")
 def appended_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path, events = fresh_path(spark, "appended"), table(spark, sf_dir, "events")
-    cheap = F.col("value") < 10
+    cheap = F.coalesce(F.col("value") < 10, F.lit(False))
     sinks.append_rows(events.where(cheap), path)
     sinks.append_rows(events.where(~cheap), path)
     return spark.read.schema(events.schema).parquet(path)
@@ -362,7 +379,7 @@ def capped_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     months = aggregates.monthly_totals(
         opportunities(spark, sf_dir), "created_date", "weighted_revenue", 10000
     )
-    sinks.write_csv_single(months, path)
+    sinks.write_csv(months, path, single=True)
     return sources.read_csv_capped(spark, path, "month string, weighted_revenue double", 1)
 
 
@@ -379,7 +396,7 @@ def observation_appended(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("set_append_history", "SELECT event_id, ts, event_type, value FROM events")
 def appended_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    new = F.col("ts") >= F.lit("2024-01-30").cast("timestamp_ntz")
+    new = F.coalesce(F.col("ts") >= F.lit("2024-01-30").cast("timestamp_ntz"), F.lit(False))
     return events.where(~new).unionByName(events.where(new))
 
 
@@ -420,37 +437,40 @@ PARTS = f"""{sql.TRANSACTIONS},
     late AS (SELECT * FROM tx WHERE transaction_date >= TIMESTAMP '1999-01-01'),
     {sql.metrics(sql.NET_RATE, sql.SAVED_RATE, 'early', 't')},
     {sql.metrics(sql.NET_RATE, sql.SAVED_RATE, 'late', 's')}"""
-COUNTERS = ["total_transactions", "total_items_purchased"]
+COUNTERS = [
+    "total_transactions",
+    "total_purchased",
+    "total_items_purchased",
+    "total_discounts_received",
+]
 RECENCY = ["days_since_last_purchase", "last_update_time"]
 
 
 def _two_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    tx = transactions(spark, sf_dir)
-    early = F.col("transaction_date") < F.lit("1999-01-01").cast("timestamp_ntz")
+    """Customer metrics of the orders before 1999 and of all others, undated ones too. Lines and orders
+    are joined once; the metrics of both periods are stored together."""
+    orders = dated_orders(spark, sf_dir)
+    date = F.col("last_update_time")
+    early = F.coalesce(date < F.lit("1999-01-01").cast("timestamp_ntz"), F.lit(False))
+    parts = aggregates.parts_of_orders(order_lines(spark, sf_dir), orders, "rate")
+    stored = materialize(
+        aggregates.add_parts(parts.withColumn("early", early), "customer_id", "early"), "periods"
+    )
     older, newer = (
-        aggregates.customer_metrics(tx.where(part), AS_OF, "rate").select(
-            "customer_id", *COUNTERS, *RECENCY
-        )
-        for part in (early, ~early)
+        aggregates.finish_metrics(stored.where(part), AS_OF)
+        for part in (F.col("early"), ~F.col("early"))
     )
     return older, newer
 
 
-MERGED_SQL = f"""WITH {PARTS} SELECT coalesce(s.customer_id, t.customer_id) AS customer_id,
-    coalesce(s.total_transactions, 0) + coalesce(t.total_transactions, 0) AS total_transactions,
-    coalesce(s.total_items_purchased, 0) + coalesce(t.total_items_purchased, 0)
-      AS total_items_purchased,
-    coalesce(s.days_since_last_purchase, t.days_since_last_purchase) AS days_since_last_purchase,
-    coalesce(s.last_update_time, t.last_update_time) AS last_update_time
-    FROM t FULL OUTER JOIN s ON t.customer_id = s.customer_id"""
+# Metrics of two parts of the transactions add up to those of all.
+MERGED_SQL = f"WITH {sql.METRICS} SELECT * FROM metrics"
 
 
 @query("keyed_merge_additive", MERGED_SQL)
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     older, newer = _two_periods(spark, sf_dir)
-    return keyed.merge_additive(
-        older, newer, "customer_id", COUNTERS, RECENCY, "last_update_time"
-    )
+    return keyed.merge_additive(older, newer, "customer_id", COUNTERS, RECENCY, "last_update_time")
 
 
 @query(
@@ -563,7 +583,9 @@ def versions_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
 def view(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"economy_{uuid.uuid4().hex}"
     filters.containing(products(spark, sf_dir), "category", "ECO").createOrReplaceTempView(name)
-    return spark.sql(f"SELECT * FROM {name}")
+    rows = spark.sql(f"SELECT * FROM {name}")
+    spark.catalog.dropTempView(name)
+    return rows
 
 
 @query(
@@ -582,11 +604,10 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     kept, dropped = _saved(spark, orders, "kept"), _saved(spark, orders.select("o_orderkey"), "dropped")
     spark.sql(f"DROP TABLE IF EXISTS {dropped}")
-    names = {t.name for t in spark.catalog.listTables()}
     return spark.table(kept).agg(
         F.lit("kept").alias("label"),
-        F.lit(kept in names).alias("kept_listed"),
-        F.lit(dropped in names).alias("dropped_listed"),
+        F.lit(spark.catalog.tableExists(kept)).alias("kept_listed"),
+        F.lit(spark.catalog.tableExists(dropped)).alias("dropped_listed"),
         F.count("*").alias("row_count"),
     )
 
@@ -597,21 +618,23 @@ def listed(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("table_dag", ENRICHED_SQL)
 def staged_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw, cleaned and enriched orders, each table built from the stored one before."""
-    orders = spark.table(_saved(spark, raw_orders(spark, sf_dir), "orders_raw"))
-    customers = spark.table(_saved(spark, raw_customers(spark, sf_dir), "customers_raw"))
-    cleaned = spark.table(_saved(spark, filters.meets(orders, order_rules()), "orders_cleaned"))
-    enriched = _saved(spark, joins.enrich_orders(cleaned, customers), "orders_enriched")
-    return spark.table(enriched)
+    orders = _through_catalog(spark, raw_orders(spark, sf_dir), "orders_raw")
+    customers = _through_catalog(spark, raw_customers(spark, sf_dir), "customers_raw")
+    cleaned = _through_catalog(spark, filters.meets(orders, order_rules()), "orders_cleaned")
+    return _through_catalog(spark, joins.enrich_orders(cleaned, customers), "orders_enriched")
 
 
-WEATHER_RAW_SQL = """SELECT 'here' AS city, ts AS processed_timestamp, value AS temperature,
+WEATHER_RAW_SQL = """SELECT 'here' AS city, ts AS processed_timestamp,
+    strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') AS api_time, value AS temperature,
     CASE WHEN event_type <> 'signup' THEN value / 2 END AS windspeed,
+    CAST(user_id % 360 AS DOUBLE) AS winddirection,
     CAST(hour(ts) BETWEEN 6 AND 18 AS INTEGER) AS is_day,
     CAST(json_extract(props, '$.k') AS INTEGER) AS code, CAST(user_id AS DOUBLE) AS latitude,
     CAST(10.25 AS DOUBLE) AS longitude FROM events"""
 
 
-WEATHER_TABLE_SQL = f"""SELECT city, processed_timestamp, temperature, windspeed, is_day,
+WEATHER_TABLE_SQL = f"""SELECT city, processed_timestamp, api_time, temperature, windspeed,
+    winddirection, is_day,
     {WEATHER_SQL} AS weather_condition, code AS weathercode, latitude, longitude
     FROM ({WEATHER_RAW_SQL})"""
 
@@ -622,18 +645,20 @@ def weather_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = sources.read_payload_object(
         spark, _weather_payloads(spark, sf_dir), WEATHER, "current_weather"
     )
-    raw = spark.table(_saved(spark, landed.withColumn("city", F.lit("here")), "weather_raw"))
+    raw = _through_catalog(spark, landed.withColumn("city", F.lit("here")), "weather_raw")
     transformed = raw.select(
         "city",
         F.to_timestamp("time").cast("timestamp_ntz").alias("processed_timestamp"),
+        F.col("time").alias("api_time"),
         "temperature",
         "windspeed",
+        "winddirection",
         "is_day",
         weather_condition(F.col("weathercode")).alias("weather_condition"),
         "weathercode",
         "latitude",
         "longitude",
     )
-    stored = spark.table(_saved(spark, transformed, "weather_transformed"))
+    stored = _through_catalog(spark, transformed, "weather_transformed")
     path = sinks.write_run(stored, fresh_path(spark, "weather-runs"), datetime(2024, 2, 1))
     return spark.read.schema(stored.schema).parquet(path)

@@ -164,11 +164,15 @@ def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "st_rate_limit",
-    "SELECT COUNT(*) AS row_count, TRUE AS one_file_per_batch FROM events",
+    "SELECT COUNT(*) AS row_count, TRUE AS within_limit, TRUE AS several_batches FROM events",
 )
-def rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
+def rate_limited(spark: SparkSession, sf_dir: str, files_per_batch: int = 2) -> DataFrame:
+    """Three deliveries, of which a batch may take only so many files. On a large topic choose the limit
+    by what a batch can process, not one file a batch."""
     topic = Topic(spark, "st-rate", *in_time_slices(readings(spark, sf_dir)))
-    stream = stream_topic(spark, "parquet", topic.path("topic"), maxFilesPerTrigger="1")
+    stream = stream_topic(
+        spark, "parquet", topic.path("topic"), maxFilesPerTrigger=str(files_per_batch)
+    )
     named = decode_json_with_file(stream)
     runs.finish(
         runs.to_batches(named, jobs.changes_to(topic.path("out")), topic.path("progress"))
@@ -181,7 +185,9 @@ def rate_limited(spark: SparkSession, sf_dir: str) -> DataFrame:
         .agg(F.count("*").alias("files"), F.sum("row_count").alias("row_count"))
     )
     return per_batch.agg(
-        F.sum("row_count").alias("row_count"), (F.max("files") == 1).alias("one_file_per_batch")
+        F.sum("row_count").alias("row_count"),
+        (F.max("files") <= files_per_batch).alias("within_limit"),
+        (F.count("*") > 1).alias("several_batches"),
     )
 
 
@@ -237,8 +243,8 @@ def _revenue(topic: Topic) -> DataFrame:
 
 
 def _spending(topic: Topic) -> DataFrame:
-    sums = jobs.high_value(topic.stream(PURCHASE), "user_id", "amount", "spending", 2000)
-    return _updated(topic, sums, "spending", "user_id", "spending")
+    sums = jobs.sums_by_key(topic.stream(PURCHASE), "user_id", "amount", "spending")
+    return filters.above(_updated(topic, sums, "spending", "user_id", "spending"), "spending", 2000)
 
 
 @query("st_sum_by_product", REVENUE_SQL)
@@ -296,16 +302,30 @@ def output_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- sinks ------------------------------------------------------------------------------------
 
 
-@query("st_sink_console", "SELECT COUNT(*) AS row_count, TRUE AS shown FROM events")
+@query(
+    "st_sink_console",
+    "SELECT COUNT(*) AS row_count, least(COUNT(*), 20) AS shown, TRUE AS as_sent FROM events",
+)
 def shown(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first rows of each batch shown, all of them counted by a second reader."""
+    """What the console printed for the one batch of the topic: its first rows, each of which is compared
+    with the readings. A second reader counts all rows."""
     topic = Topic(spark, "st-console", readings(spark, sf_dir))
     stream = topic.stream(READING)
-    lines: list[str] = []
-    runs.finish(runs.to_console(stream, topic.path("shown-progress"), emit=lines.append))
+    printed: list[str] = []
+    runs.finish(runs.to_console(stream, topic.path("shown-progress"), emit=printed.append))
+    lines = [(line,) for text in printed for line in text.splitlines()[1:]]
     runs.finish(runs.to_files(stream, topic.path("out"), topic.path("progress")))
-    return topic.result("out", stream.schema).agg(
-        F.count("*").alias("row_count"), F.lit(bool(lines)).alias("shown")
+    rows = topic.result("out", stream.schema)
+    # At most 20 lines of the console.
+    ids = spark.createDataFrame(lines, "line string").select(
+        F.regexp_extract("line", "'event_id': ([0-9]+)", 1).cast("bigint").alias("event_id"),
+        F.regexp_extract("line", "'value': ([-0-9.e]+)", 1).cast("double").alias("value"),
+    )
+    found = rows.join(F.broadcast(ids), ["event_id", "value"], "left_semi")
+    return rows.agg(F.count("*").alias("row_count")).select(
+        "row_count",
+        F.lit(len(lines)).cast("bigint").alias("shown"),
+        F.lit(found.count() == len(lines)).alias("as_sent"),
     )
 
 
@@ -343,9 +363,9 @@ def enriched_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders.write.parquet(f"{root}/landed")
     stream = spark.readStream.schema(orders.schema).parquet(f"{root}/landed")
     cleaned = filters.meets(stream, order_rules())
-    enriched = joins.enrich_orders(cleaned, raw_customers(spark, sf_dir))
-    runs.finish(runs.to_files(enriched, f"{root}/out", f"{root}/progress"))
-    return spark.read.schema(enriched.schema).parquet(f"{root}/out")
+    customers = raw_customers(spark, sf_dir)
+    runs.finish(jobs.enriched(cleaned, customers, root, f"{root}/progress"))
+    return jobs.stored_rows(spark, f"{root}/out").drop("batch_id")
 
 
 def _metrics_stream(spark: SparkSession, sf_dir: str, label: str) -> jobs.CustomerMetrics:
@@ -353,7 +373,8 @@ def _metrics_stream(spark: SparkSession, sf_dir: str, label: str) -> jobs.Custom
     topic = Topic(spark, label)
     metrics = jobs.CustomerMetrics(spark, topic.root, "amount")
     rows = transactions(spark, sf_dir, "amount")
-    early = F.col("transaction_date") < F.lit("1999-01-01").cast("timestamp_ntz")
+    date = F.col("transaction_date")
+    early = F.coalesce(date < F.lit("1999-01-01").cast("timestamp_ntz"), F.lit(False))
     for part in (early, ~early):
         topic.add(rows.where(part))
         runs.finish(metrics.start(topic.stream(TRANSACTION), topic.path("progress"), runs.AVAILABLE))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from heronry.functions.numbers import discount_amount
 
@@ -12,16 +12,9 @@ from heronry.functions.numbers import discount_amount
 AS_OF = date(2001, 8, 1)
 
 
-_schemas: dict[tuple[str, str], T.StructType] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table. Its schema is read from a footer once per session, not once per query."""
-    path = f"{sf_dir}/{name}.parquet"
-    known = (spark.sparkContext.applicationId, path)
-    if known not in _schemas:
-        _schemas[known] = spark.read.parquet(path).schema
-    return spark.read.schema(_schemas[known]).parquet(path)
+    """A given table, with the columns it has now."""
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def places(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,25 +86,46 @@ def stores(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def transactions(spark: SparkSession, sf_dir: str, discount: str = "rate") -> DataFrame:
-    """Customer transactions: one per order line. A zero discount counts as none on record.
+def order_lines(spark: SparkSession, sf_dir: str, discount: str = "rate") -> DataFrame:
+    """Order lines without what belongs to their order. A zero discount counts as none on record.
     ``discount`` selects a fraction (``rate``) or an absolute ``amount``."""
-    lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
     rate = F.nullif(F.col("l_discount"), F.lit(0.0))
     gross = F.col("l_extendedprice")
     applied = rate if discount == "rate" else discount_amount(gross, rate, F.lit(1))
-    return lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    return table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("transaction_id"),
-        F.col("o_custkey").alias("customer_id"),
         F.col("l_partkey").alias("product_id"),
-        F.col("o_orderdate").alias("transaction_date"),
         F.col("l_quantity").cast("int").alias("quantity"),
         gross.alias("gross_amount"),
         applied.alias("discount_applied"),
+    )
+
+
+def dated_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the lines of an order have in common."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_orderkey").alias("transaction_id"),
+        F.col("o_custkey").alias("customer_id"),
+        F.col("o_orderdate").alias("transaction_date"),
         F.col("o_orderpriority").alias("payment_method"),
     )
 
 
+def transactions(spark: SparkSession, sf_dir: str, discount: str = "rate") -> DataFrame:
+    """Customer transactions: one per order line."""
+    lines, orders = order_lines(spark, sf_dir, discount), dated_orders(spark, sf_dir)
+    return lines.join(orders, "transaction_id").select(
+        "transaction_id",
+        "customer_id",
+        "product_id",
+        "transaction_date",
+        "quantity",
+        "gross_amount",
+        "discount_applied",
+        "payment_method",
+    )
+
+
 def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order lines as ingested: untaxed lines have no order number, small ones no quantity left."""
     lineitem, orders = table(spark, sf_dir, "lineitem"), table(spark, sf_dir, "orders")
@@ -125,11 +139,9 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Customers as ingested: those of the machinery segment have not arrived."""
-    return (
-        table(spark, sf_dir, "customer")
-        .where(F.col("c_mktsegment") != "MACHINERY")
-        .select(F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name"))
+    """Customers as ingested."""
+    return table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").alias("customer_id"), F.col("c_name").alias("name")
     )
 
 

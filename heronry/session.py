@@ -8,10 +8,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Local sessions without a configured folder get one here, for the life of the process.
+# Folders of sessions that run in this process only and name none.
 _local_folders: dict[str, tempfile.TemporaryDirectory] = {}
 
-
 def build_session(
     app_name: str = "heronry",
     master: str | None = None,
@@ -19,10 +18,14 @@ def build_session(
 ) -> SparkSession:
     """Create (or get) a session with the settings the operators are tuned for.
 
-    On a cluster the initial shuffle width is deliberately high: adaptive execution merges small
-    partitions, but it cannot split a partition that was planned too coarse except for skewed joins.
+    On a cluster ``conf`` must give ``spark.sql.shuffle.partitions``, for the data and the executors it
+    has: adaptive execution merges small partitions, but it cannot split a partition that was planned too
+    coarse except for skewed joins.
     """
-    local = master is not None and master.startswith("local")
+    local = master is not None and (master == "local" or master.startswith("local["))
+    width = (conf or {}).get("spark.sql.shuffle.partitions", str(os.cpu_count() or 8) if local else "")
+    if not width:
+        raise ValueError("conf must give spark.sql.shuffle.partitions")
     settings = {
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
@@ -30,7 +33,7 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.files.maxPartitionBytes": "256m",
-        "spark.sql.shuffle.partitions": str(os.cpu_count() or 8) if local else "4096",
+        "spark.sql.shuffle.partitions": width,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # Recording a call site for every column expression doubles the time to build a plan.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -50,12 +53,14 @@ def build_session(
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without the setting; it then gets a folder of its own.
+    Only a session whose executors are threads of this process may go without the setting, as tests
+    do; it then gets a folder for the life of the process. ``local-cluster`` is a cluster.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    master = spark.conf.get("spark.master", "")
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     app = spark.conf.get("spark.app.id", "local")
     if app not in _local_folders:
@@ -87,6 +92,18 @@ def is_complete(spark: SparkSession, path: str) -> bool:
     return marker.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(marker)
 
 
+def file_state(spark: SparkSession, path: str) -> tuple:
+    """Names, sizes and change times of the files directly at ``path``, as one hash: equal as long as
+    nothing there changes."""
+    jvm = spark.sparkContext._jvm
+    at = jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files = sorted(
+        (f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in fs.listStatus(at)
+    )
+    return path, hash(tuple(files))
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends at the written table.
 

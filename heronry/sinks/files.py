@@ -7,27 +7,16 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 
 from heronry.functions.times import run_folder
-from heronry.session import materialize
 
-# A result of up to this many rows may be written by one task.
-SINGLE_FILE_ROWS = 1_000_000
+def write_csv(df: DataFrame, path: str, single: bool = False) -> None:
+    """CSV with headers, as many files as there are partitions.
 
-
-def write_csv(df: DataFrame, path: str) -> None:
-    """CSV with headers, as many files as there are partitions."""
-    df.write.option("header", True).mode("overwrite").csv(path)
-
-
-def write_csv_single(df: DataFrame, path: str, max_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """One CSV file with a header, if the result is small; otherwise several files.
-
-    The result is computed once, in parallel, into the shared folder. Its size is then known and
-    only a small one goes through a single task. Returns whether a single file was written.
+    ``single`` writes one file through one task. That is the caller's choice, for a report whose size the
+    caller knows: a result that grows with the data belongs in several files. What comes before runs
+    in parallel all the same, since its rows are dealt to the one task by a shuffle.
     """
-    staged = materialize(df, "csv-stage")
-    small = staged.count() <= max_rows
-    write_csv(staged.coalesce(1) if small else staged, path)
-    return small
+    out = df.repartition(1) if single else df
+    out.write.option("header", True).mode("overwrite").csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:

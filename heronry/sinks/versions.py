@@ -15,6 +15,23 @@ def committed(spark: SparkSession, root: str, key: str = "version") -> list[int]
     return sorted(int(f.getPath().getParent().getName().split("=", 1)[1]) for f in found)
 
 
+def _taken(spark: SparkSession, root: str, key: str = "version") -> int:
+    """The highest number that a version, committed or not, has; 0 if there is none."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{key}=*")
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = fs.globStatus(pattern) or []
+    return max((int(f.getPath().getName().split("=", 1)[1]) for f in found), default=0)
+
+
+def remove_versions(spark: SparkSession, root: str, numbers: list[int], key: str = "version") -> None:
+    """Delete versions that nobody reads any more."""
+    jvm = spark.sparkContext._jvm
+    for number in numbers:
+        path = jvm.org.apache.hadoop.fs.Path(f"{root}/{key}={number}")
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def write_version(df: DataFrame, root: str, version: int, key: str = "version") -> None:
     """Write (or rewrite) one version."""
     df.write.mode("overwrite").parquet(f"{root}/{key}={version}")
@@ -29,10 +46,13 @@ def read_version(spark: SparkSession, root: str, version: int | None = None) ->
 
 
 def next_version(df: DataFrame, root: str) -> int:
-    """Write ``df`` as the version after the newest. ``df`` may read the newest version itself."""
-    known = committed(df.sparkSession, root)
-    version = known[-1] + 1 if known else 1
-    write_version(df, root, version)
+    """Write ``df`` as the version after the newest. ``df`` may read the newest version itself.
+
+    The number of a version that was never finished is not used again. If another writer takes the
+    number meanwhile, this one fails and leaves that version alone.
+    """
+    version = _taken(df.sparkSession, root) + 1
+    df.write.mode("errorifexists").parquet(f"{root}/version={version}")
     return version
 
 

@@ -2,8 +2,10 @@
 
 Totals that only add up, and rows of which the newest counts, need no read-modify-write: each batch
 appends its own rows as one version, and a reader combines the versions. Writing a batch costs what
-the batch costs, however large the table is, and writing it again changes nothing. Now and then the
-versions are combined into a base, so a reader combines few of them.
+the batch costs, however large the table is, and writing it again changes nothing. Every
+``fold_after`` batches the versions are combined into a base. What the base before last and all earlier
+versions held is then removed, so the folders that anyone lists are bounded by ``fold_after``, however
+many batches there have been.
 """
 
 from __future__ import annotations
@@ -12,7 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heronry.sinks.versions import committed, write_version
+from heronry.sinks.versions import committed, remove_versions, write_version
 
 FOLD_AFTER = 24
 
@@ -71,11 +73,18 @@ class FoldedTable:
 
     def fold(self, upto: int) -> None:
         """Write the base that contains every batch up to ``upto``. :meth:`put` leaves the newest batch
-        out, so that a replay of it still finds the table as it was before."""
-        if upto > self._folded():
-            combined = self.read(before=upto + 1)
-            if combined is not None:
-                write_version(combined, self.base, upto, "batch_id")
+        out, so that a replay of it still finds the table as it was before. The last base and what came
+        after it stay until the next fold, for readers that have begun with them."""
+        last = self._folded()
+        if upto <= last:
+            return
+        combined = self.read(before=upto + 1)
+        if combined is None:
+            return
+        write_version(combined, self.base, upto, "batch_id")
+        for root, keep_from in ((self.base, last), (self.parts, last + 1)):
+            old = [n for n in committed(self.spark, root, "batch_id") if n < keep_from]
+            remove_versions(self.spark, root, old, "batch_id")
 
 
 def newest(key: str, *columns: str) -> Callable[[DataFrame], DataFrame]:

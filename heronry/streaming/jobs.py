@@ -12,10 +12,11 @@ from pyspark.sql.streaming import StreamingQuery
 
 from heronry.functions.numbers import exact_sum
 from heronry.operators.aggregates import add_parts, finish_metrics, metric_parts
+from heronry.operators.joins import enrich_orders
 from heronry.operators.projections import stamp
 from heronry.operators.running import add_key_totals, key_totals
 from heronry.operators.running import running_average as average_so_far
-from heronry.sinks.versions import committed, write_version
+from heronry.sinks.versions import committed, remove_versions, write_version
 from heronry.streaming.folded import FoldedTable
 from heronry.streaming.runs import to_batches
 
@@ -27,22 +28,21 @@ def stored_batch(spark: SparkSession, batch: DataFrame, root: str, number: int)
 
 
 def stored_rows(spark: SparkSession, root: str) -> DataFrame:
-    """Rows of all committed batches with their ``batch_id``."""
-    paths = [f"{root}/batch_id={n}" for n in committed(spark, root, "batch_id")]
-    return spark.read.option("basePath", root).parquet(*paths)
+    """Rows of all batches with their ``batch_id``, read as one partitioned dataset. A batch that is being
+    written is not seen: its files lie in a hidden folder until Spark commits them."""
+    return spark.read.parquet(root)
 
 
 # --- running sums -----------------------------------------------------------------------------
 
 
-def sums_by_key(stream: DataFrame, key: str, value: str, result: str) -> DataFrame:
-    """Running sum per key. Spark adds up each batch before it touches the state."""
-    return stream.groupBy(key).agg(exact_sum(F.col(value)).alias(result))
+def sums_by_key(stream: DataFrame, key: str, value: str, result: str, scale: int = 2) -> DataFrame:
+    """Running sum per key. Spark adds up each batch before it touches the state.
 
-
-def high_value(stream: DataFrame, key: str, value: str, result: str, above: float) -> DataFrame:
-    """Running sum per key, only while it exceeds a bound."""
-    return sums_by_key(stream, key, value, result).where(F.col(result) > above)
+    Store all sums and filter them on reading: a sum that is filtered out here once it falls below a
+    bound would leave its earlier value in the stored table.
+    """
+    return stream.groupBy(key).agg(exact_sum(F.col(value), scale).alias(result))
 
 
 def changes_to(root: str) -> Callable[[DataFrame, int], None]:
@@ -62,7 +62,6 @@ def running_average(
     value: str,
     scale: int = 2,
     trigger: dict | None = None,
-    **options: int,
 ) -> StreamingQuery:
     """Emit, for every record, the average of its key so far; ``root/out`` receives the rows.
 
@@ -78,12 +77,39 @@ def running_average(
         # is broadcast to the stored totals instead of shuffling those.
         state.put(key_totals(rows, key, value, scale), number)
         earlier = state.read(before=number, among=state.part(number).select(key))
-        averaged = average_so_far(rows, key, order, value, scale=scale, earlier=earlier, **options)
+        averaged = average_so_far(rows, key, order, value, scale=scale, earlier=earlier)
         write_version(averaged, f"{root}/out", number, "batch_id")
+        # The rows of earlier batches are needed no more.
+        old = [n for n in committed(spark, f"{root}/in", "batch_id") if n < number]
+        remove_versions(spark, f"{root}/in", old, "batch_id")
 
     return to_batches(stream, handle, checkpoint, trigger=trigger)
 
 
+# --- enrichment -------------------------------------------------------------------------------
+
+
+def enriched(
+    orders: DataFrame, customers: DataFrame, root: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
+    """Orders with the name of their customer in ``root/out``.
+
+    The stored batch is joined in the caller's session, where a hot customer is split, and only with the
+    customers it names: their table is scanned, but not shuffled, for every batch.
+    """
+    spark = orders.sparkSession
+
+    def handle(batch: DataFrame, number: int) -> None:
+        rows = stored_batch(spark, batch, f"{root}/in", number)
+        wanted = rows.select("customer_id").distinct()
+        named = customers.join(wanted, "customer_id", "left_semi")
+        write_version(enrich_orders(rows, named), f"{root}/out", number, "batch_id")
+        old = [n for n in committed(spark, f"{root}/in", "batch_id") if n < number]
+        remove_versions(spark, f"{root}/in", old, "batch_id")
+
+    return to_batches(orders, handle, checkpoint, trigger=trigger)
+
+
 # --- customer metrics -------------------------------------------------------------------------
 
 

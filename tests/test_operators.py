@@ -1,5 +1,7 @@
 """Edge cases of the operators on small hand-written rows."""
 
+import itertools
+import math
 from datetime import date, datetime
 
 import pytest
@@ -239,6 +241,42 @@ def test_merge(spark):
     assert {tuple(r) for r in replaced.collect()} == {(1, 7, 0, 110), (2, 8, 30, 80), (3, 1, 0, 105), (4, 0, 0, 60)}
 
 
+def test_merge_does_not_depend_on_the_order_of_its_arguments(spark):
+    one = _totals(spark, [(1, 1, 10, 100), (2, 1, 7, None)])
+    two = _totals(spark, [(1, 2, 99, 100), (2, 2, 3, None)])
+    results = []
+    for table, batch in ((one, two), (two, one)):
+        merged = keyed.merge_additive(table, batch, "k", ["n"], ["days", "seen"], "seen")
+        results.append({tuple(r) for r in merged.collect()})
+    # All of a key's recency comes from one side, also where neither time is known.
+    assert results == [{(1, 3, 99, 100), (2, 3, 7, None)}] * 2
+
+
+def test_money_is_merged_exactly(spark):
+    money = lambda v: spark.createDataFrame([(1, v, 1)], "k int, spent double, seen int")
+    merged = keyed.merge_additive(money(0.1), money(0.2), "k", ["spent"], ["seen"], "seen")
+    assert one(merged)["spent"] == 0.3
+
+
+def test_sums_round_nothing(spark):
+    def total(values, f=exact_sum):
+        df = spark.createDataFrame([(v,) for v in values], "v double")
+        return one(df.agg(f(F.col("v")).alias("s")))["s"]
+
+    assert total([0.004] * 1000) == pytest.approx(4.0, abs=1e-9)
+    assert total([1.2345], exact_avg) == 1.2345
+    assert total([1e17, 2.0, None]) == 1e17 + 2.0
+    assert math.isnan(total([1.0, float("nan")])) and total([float("inf"), 1.0]) == float("inf")
+    cents = [0.1, 0.2, 0.3, 1e9 + 0.01, -1e9]
+    assert len({total(p) for p in itertools.permutations(cents)}) == 1
+    assert total([-0.01] * 3) == -0.03
+
+
+def test_discounts_are_not_cut(spark):
+    assert value_of(spark, discount_amount(F.lit(100.0), F.lit(0.125), F.lit(1))) == 12.5
+    assert value_of(spark, discount_amount(F.lit(1.005), F.lit(1 / 3), F.lit(300))) == 100.5
+
+
 def test_changes(spark):
     table = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, name string")
     changes = spark.createDataFrame(

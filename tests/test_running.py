@@ -45,24 +45,41 @@ def collected(df):
     return {r["id"]: (r["running_sum"], r["running_count"]) for r in df.collect()}
 
 
-@pytest.mark.parametrize("piece_rows", [10**9, 400, 50, 7])
+@pytest.fixture(params=["1", "4", "40"])
+def pieces(spark, request):
+    """Numbers of pieces that the rows are cut into; adaptive execution may not merge them."""
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")
+    before = [spark.conf.get(n) for n in names]
+    for name, value in zip(names, (request.param, "false")):
+        spark.conf.set(name, value)
+    yield int(request.param)
+    for name, value in zip(names, before):
+        spark.conf.set(name, value)
+
+
 @pytest.mark.parametrize("ties", [False, True])
-def test_totals(spark, piece_rows, ties):
+def test_totals(spark, pieces, ties):
     rows = skewed(ties=ties)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
-    totals = running_totals(df, "key", ["moment", "id"], "value", piece_rows=piece_rows)
+    totals = running_totals(df, "key", ["moment", "id"], "value")
     assert collected(totals) == brute_force(rows)
 
 
-def test_hot_key_is_spread(spark):
+def test_hot_key_is_spread(spark, pieces):
     rows = [(i, "hot", i, 1.0) for i in range(5000)]
     df = spark.createDataFrame(rows, SCHEMA)
-    totals = running_totals(df, "key", ["moment", "id"], "value", piece_rows=500)
+    totals = running_totals(df, "key", ["moment", "id"], "value")
     assert collected(totals) == brute_force(rows)
 
 
-@pytest.mark.parametrize("piece_rows", [10**9, 100])
-def test_start_from_earlier_totals(spark, piece_rows):
+def test_nothing_is_rounded(spark):
+    rows = [(i, "a", i, 0.004) for i in range(1000)] + [(-1, "b", 0, 1.2345), (-2, "c", 0, 1e17)]
+    got = collected(running_totals(spark.createDataFrame(rows, SCHEMA), "key", ["moment", "id"], "value"))
+    assert got[999][0] == pytest.approx(4.0, abs=1e-9)
+    assert got[-1] == (1.2345, 1) and got[-2] == (1e17, 1)
+
+
+def test_start_from_earlier_totals(spark, pieces):
     old, new = skewed(900, seed=1), skewed(900, seed=2)
     before = defaultdict(lambda: [Decimal(0), 0])
     for _, key, _, value in old:
@@ -77,7 +94,6 @@ def test_start_from_earlier_totals(spark, piece_rows):
         "key",
         ["moment", "id"],
         "value",
-        piece_rows=piece_rows,
         earlier=earlier,
     )
     assert collected(totals) == brute_force(new, {k: tuple(v) for k, v in before.items()})
@@ -91,4 +107,4 @@ def test_average(spark):
 
 def test_no_rows(spark):
     df = spark.createDataFrame([], SCHEMA)
-    assert running_totals(df, "key", ["moment", "id"], "value", piece_rows=0).count() == 0
+    assert running_totals(df, "key", ["moment", "id"], "value").count() == 0

@@ -116,11 +116,11 @@ def test_kafka_options():
 # --- writers ----------------------------------------------------------------------------------
 
 
-def test_single_csv_only_when_small(spark, tmp_path):
+def test_one_file_or_several_is_the_callers_choice(spark, tmp_path):
     df = spark.range(0, 50, 1, 5)
-    assert sinks.write_csv_single(df, f"{tmp_path}/one") is True
+    sinks.write_csv(df, f"{tmp_path}/one", single=True)
     assert len(glob.glob(f"{tmp_path}/one/part-*")) == 1
-    assert sinks.write_csv_single(df, f"{tmp_path}/many", max_rows=49) is False
+    sinks.write_csv(df, f"{tmp_path}/many")
     assert len(glob.glob(f"{tmp_path}/many/part-*")) > 1
     for name in ("one", "many"):
         assert sources.read_csv(spark, f"{tmp_path}/{name}", "id bigint").count() == 50
@@ -163,6 +163,78 @@ def test_shared_folder_comes_from_the_session(spark):
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
 
 
+def test_a_cluster_must_name_folder_and_width(spark, monkeypatch):
+    with pytest.raises(ValueError, match="shuffle.partitions"):
+        session.build_session(master="local-cluster[2,1,1024]")
+    master = spark.conf.get("spark.master")
+    real = type(spark.conf).get
+    answers = {"spark.checkpoint.dir": None, "spark.master": "local-cluster[2,1,1024]"}
+    monkeypatch.setattr(
+        type(spark.conf), "get", lambda self, k, *d: answers[k] if k in answers else real(self, k, *d)
+    )
+    with pytest.raises(RuntimeError, match="checkpoint.dir"):
+        session.shared_folder(spark)
+    assert master.startswith("local[")
+
+
+def _with_nulls(spark, sf_dir, tmp_path):
+    """The given tables with a null in every tenth row of each column that a query splits by."""
+    import os
+
+    for path in glob.glob(f"{sf_dir}/*.parquet"):
+        name = os.path.basename(path)
+        df = spark.read.parquet(path)
+        split_by = {"customer.parquet": "c_acctbal", "events.parquet": None, "orders.parquet": "o_orderdate"}
+        if name == "events.parquet":
+            gap = F.col("event_id") % 10 == 3
+            df = df.withColumns({c: F.when(~gap, F.col(c)) for c in ("ts", "value")})
+        elif name in split_by:
+            gap = F.col(df.columns[0]) % 10 == 3
+            df = df.withColumn(split_by[name], F.when(~gap, F.col(split_by[name])))
+        df.write.parquet(f"{tmp_path}/{name}")
+    return str(tmp_path)
+
+
+def test_no_row_is_lost_at_a_null(spark, sf_dir, tmp_path):
+    from heronry.plans import all_queries
+
+    gaps, queries_ = _with_nulls(spark, sf_dir, tmp_path), all_queries()
+    count = lambda name: spark.read.parquet(f"{gaps}/{name}.parquet").count()
+    for name, source in (
+        ("set_append_history", "events"),
+        ("snk_table_append", "events"),
+        ("src_versioned_records", "customer"),
+        ("sch_evolve_read", "customer"),
+        ("set_union_versions", "customer"),
+        ("st_foreach_batch_multi", "lineitem"),
+    ):
+        assert queries_[name](spark, gaps).count() == count(source), name
+    total = queries_["sch_drift_report"](spark, gaps).agg(F.sum("row_count")).first()[0]
+    assert total == count("customer")
+    for name in ("keyed_merge_additive", "agg_customer_metrics_pct"):
+        lines = queries_[name](spark, gaps).agg(F.sum("total_transactions")).first()[0]
+        assert lines == count("lineitem"), name
+
+
+def test_reports_follow_the_tables(spark, sf_dir, tmp_path):
+    """No stored result or schema outlives a change of the files."""
+    import os
+    import shutil
+
+    from heronry.plans.customers import metrics_table
+    from heronry.plans.views import table
+
+    for name in ("lineitem", "orders"):
+        shutil.copy(f"{sf_dir}/{name}.parquet", tmp_path)
+    before = metrics_table(spark, str(tmp_path)).agg(F.sum("total_transactions")).first()[0]
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").limit(100).withColumn("more", F.lit(1))
+    os.remove(f"{tmp_path}/lineitem.parquet")
+    lines.write.parquet(f"{tmp_path}/lineitem.parquet")
+    assert "more" in table(spark, str(tmp_path), "lineitem").columns
+    after = metrics_table(spark, str(tmp_path)).agg(F.sum("total_transactions")).first()[0]
+    assert before > 100 and after == 100
+
+
 # --- versions ---------------------------------------------------------------------------------
 
 
@@ -189,5 +261,5 @@ def test_half_written_version_is_invisible(spark, tmp_path):
     (broken / "part-00000.parquet").write_text("not finished")
     assert versions.committed(spark, str(root)) == [1]
     assert versions.read_version(spark, str(root)).count() == 3
-    assert versions.next_version(spark.range(5), str(root)) == 2
+    assert versions.next_version(spark.range(5), str(root)) == 3
     assert versions.read_version(spark, str(root)).count() == 5

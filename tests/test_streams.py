@@ -71,7 +71,7 @@ def test_folding_keeps_totals_and_ignores_replays(spark, tmp_path):
 
 def test_totals_before_a_batch(spark, tmp_path):
     add = lambda parts: add_parts(parts, "customer_id")
-    state = FoldedTable(spark, str(tmp_path), add, fold_after=2)
+    state = FoldedTable(spark, str(tmp_path), add, fold_after=10)
     for number in range(4):
         batch = tx(spark, (number, 1, 1 + number, 1, 10.0, 0.0))
         state.put(metric_parts(batch, "customer_id", "amount"), number)
@@ -109,8 +109,7 @@ def test_malformed_records_become_null_rows(spark, tmp_path):
     assert rows == {("a", 1.5), (None, None), ("b", None)}
 
 
-@pytest.mark.parametrize("piece_rows", [10**9, 20])
-def test_running_average_over_batches(spark, tmp_path, piece_rows):
+def test_running_average_over_batches(spark, tmp_path):
     sensor = lambda i: None if i % 11 == 0 else "hot" if i % 3 == 0 else f"s{i % 7}"
     rows = [(i, sensor(i), i / 4) for i in range(300)]
     df = spark.createDataFrame(rows, "id bigint, sensor string, v double")
@@ -121,7 +120,7 @@ def test_running_average_over_batches(spark, tmp_path, piece_rows):
         )
         runs.finish(
             jobs.running_average(
-                stream, str(tmp_path), f"{tmp_path}/progress", "sensor", ["id"], "v", piece_rows=piece_rows
+                stream, str(tmp_path), f"{tmp_path}/progress", "sensor", ["id"], "v"
             )
         )
     got = {r["id"]: r["running_avg"] for r in jobs.stored_rows(spark, f"{tmp_path}/out").collect()}
@@ -130,18 +129,34 @@ def test_running_average_over_batches(spark, tmp_path, piece_rows):
 
 
 def test_updates_of_running_sums(spark, tmp_path):
-    df = spark.createDataFrame([(1, 1500.0), (2, 10.0), (1, 600.0), (2, 5.0)], "user_id bigint, amount double")
+    deliveries = [[(1, 1500.0), (2, 10.0)], [(1, 600.0), (2, 5.0)], [(1, -1000.0)]]
     seen = []
-    for part in (df.limit(2), df.subtract(df.limit(2))):
+    for rows in deliveries:
+        part = spark.createDataFrame(rows, "user_id bigint, amount double")
         publish(part, "parquet", f"{tmp_path}/topic")
         stream = decode_json(
             stream_topic(spark, "parquet", f"{tmp_path}/topic"), "user_id bigint, amount double"
         )
-        sums = jobs.high_value(stream, "user_id", "amount", "spent", 2000)
+        sums = jobs.sums_by_key(stream, "user_id", "amount", "spent")
         table = FoldedTable(spark, f"{tmp_path}/out", newest("user_id", "spent"))
         runs.finish(runs.to_batches(sums, numbered(table), f"{tmp_path}/progress", "update"))
-        seen.append({(r["user_id"], r["spent"]) for r in table.read().collect()})
-    assert seen == [set(), {(1, 2100.0)}]
+        above = table.read().where("spent > 2000").collect()
+        seen.append({(r["user_id"], r["spent"]) for r in above})
+    # A refund takes the user out again.
+    assert seen == [set(), {(1, 2100.0)}, set()]
+
+
+def test_listed_folders_are_bounded(spark, tmp_path):
+    add = lambda parts: add_parts(parts, "customer_id")
+    state = FoldedTable(spark, str(tmp_path), add, fold_after=3)
+    for number in range(20):
+        batch = tx(spark, (number, 1, 1, 1, 10.0, 0.0))
+        state.put(metric_parts(batch, "customer_id", "amount"), number)
+        listed = [*tmp_path.glob("*/batch_id=*")]
+        assert len(listed) <= 2 * 3 + 3
+    state.put(metric_parts(batch, "customer_id", "amount"), 19)
+    assert state.read().first()["total_transactions"] == 20
+    assert state.read(before=19).first()["total_transactions"] == 19
 
 
 def test_console_shows_only_the_first_rows(spark, tmp_path):
