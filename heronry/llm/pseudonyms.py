@@ -22,19 +22,24 @@ from heronry.llm.batches import pieces
 ROUNDS = 8
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date", "secret")
 
-FOUND = re.compile(
-    r"(?<![0-9A-Za-z])(?:"
-    r"(?P<secret>[0-9a-f]{32,128}|[0-9A-F]{32,128})"
-    r"|(?P<iban>[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?)"
-    r"|(?P<date>[0-9]{4}(?P<sep>[-/.])[0-9]{1,2}(?P=sep)[0-9]{1,2}"
-    r"|[0-9]{1,2}(?P<sep2>[-/.])[0-9]{1,2}(?P=sep2)[0-9]{4})"
-    r"|(?P<ip>[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9]))"
-    r"|(?P<ssn>[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-[0-9]))"
-    r"|(?P<card>[0-9](?:[ -]?[0-9]){12,18}(?![ -]?[0-9]{2}))"
-    r"|(?P<phone>\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)[ .-]?)?[0-9]{1,4}(?:[ .-]?[0-9]{2,4}){1,4}"
-    r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}[-.][0-9]{3}[-.][0-9]{4})"
-    r")(?![0-9A-Za-z])"
-)
+_START, _END = "(?<![0-9A-Za-z])", "(?![0-9A-Za-z])"
+# The forms of each kind, in the order in which they are looked for: a value found by one is not part of
+# a later one.
+FORMS = {
+    kind: re.compile(f"{_START}(?:{form}){_END}")
+    for kind, form in {
+        "secret": "[0-9a-f]{32,128}|[0-9A-F]{32,128}",
+        "iban": "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
+        "card": r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}"
+        r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}",
+        "date": r"[0-9]{4}([-/.])[0-9]{1,2}\1[0-9]{1,2}|[0-9]{1,2}([-/.])[0-9]{1,2}\2[0-9]{4}",
+        "ip": r"(?<!\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
+        "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-[0-9])",
+        "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{1,4}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{3,5}"
+        r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,12}(?!\.?[0-9])){1,4}"
+        r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}([-.])[0-9]{3}\1[0-9]{4}",
+    }.items()
+}
 EMAIL = re.compile(
     r"(?<![\w.%+-])(?P<local>[\w.%+-]+)@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
 )
@@ -200,13 +205,10 @@ def _secret(text: str, move) -> str | None:
 
 def _email_local(text: str, move) -> str:
     """Letters become letters and digits digits; other characters stay."""
-    classes = [("abcdefghijklmnopqrstuvwxyz", str.islower), ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", str.isupper)]
+    alphabets = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
     value, size, used = 0, 1, []
     for c in text:
-        letters = next(
-            (a for a in ("0123456789", *(x for x, _ in classes)) if c in a),
-            None,
-        )
+        letters = next((a for a in alphabets if c in a), None)
         used.append(letters)
         if letters:
             value, size = value * len(letters) + letters.index(c), size * len(letters)
@@ -237,36 +239,39 @@ class Pseudonymiser:
     def _move(self, kind: str):
         return lambda value, size, more="": self.feistel.permute(value, size, f"{kind}{more}")
 
+    def found(self, text: str) -> list[tuple[int, int, str, str]]:
+        """(begin, end, kind, pseudonym) of every validated value, in the order of the text."""
+        spans: list[tuple[int, int, str, str]] = []
+        taken = bytearray()
+
+        def note(match: re.Match, kind: str, new: str | None) -> None:
+            begin, end = match.span()
+            if new is None or any(taken[begin:end]):
+                return
+            if not taken:
+                taken.extend(bytes(len(text)))
+            taken[begin:end] = b"\1" * (end - begin)
+            spans.append((begin, end, kind, new))
+
+        if "@" in text:
+            for m in EMAIL.finditer(text):
+                local = _email_local(m["local"], self._move(f"email|{m['host'].lower()}"))
+                note(m, "email", f"{local}@{m['host']}")
+        if TWO_DIGITS.search(text):
+            for kind, form in FORMS.items():
+                for m in form.finditer(text):
+                    note(m, kind, MAKERS[kind](m.group(), self._move(kind)))
+        return sorted(spans)
+
     def replace(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with its validated values replaced, and how many of each kind."""
         counts: dict[str, int] = {}
-
-        def count(kind: str) -> None:
+        made, at = [], 0
+        for begin, end, kind, new in self.found(text):
             counts[kind] = counts.get(kind, 0) + 1
-
-        def number(match: re.Match) -> str:
-            kind, found = match.lastgroup, match.group()
-            if kind in ("sep", "sep2"):
-                kind = "date"
-            kinds = (kind, "phone") if kind == "card" and found[0] == "+" else (kind,)
-            for k in kinds:
-                new = MAKERS[k](found, self._move(k))
-                if new is not None:
-                    count(k)
-                    return new
-            return found
-
-        def email(match: re.Match) -> str:
-            count("email")
-            local, host = match["local"], match["host"]
-            move = self._move(f"email|{host.lower()}")
-            return f"{_email_local(local, move)}@{host}"
-
-        if TWO_DIGITS.search(text):
-            text = FOUND.sub(number, text)
-        if "@" in text:
-            text = EMAIL.sub(email, text)
-        return text, counts
+            made += [text[at:begin], new]
+            at = end
+        return ("".join([*made, text[at:]]) if made else text), counts
 
 
 def pseudonymised(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:

@@ -119,6 +119,20 @@ def test_pseudonyms_keep_the_format(kind):
         assert new in maker.replace(f"other words {value}")[0]
 
 
+def test_values_side_by_side_are_all_found():
+    maker = pseudonyms.Pseudonymiser(b"key")
+    text = "+1 (826) 555-4081 190.137.223.204 4111111111111111 42 DE89 3704 0044 0532 0130 00 4111 1111 1111 1111"
+    new, counts = maker.replace(text)
+    assert counts == {"phone": 1, "ip": 1, "card": 2, "iban": 1}
+    for value in ("555-4081", "190.137", "4111111111111111", "0044 0532", "4111 1111 1111 1111"):
+        assert value not in new
+
+
+def test_a_form_that_is_not_valid_hides_no_other():
+    counts = pseudonyms.Pseudonymiser(b"key").replace("AB12 4111 1111 1111 1111 and 2021-02-30 4.4.4.4")[1]
+    assert counts == {"card": 1, "ip": 1}
+
+
 def test_values_that_are_not_valid_stay():
     maker = pseudonyms.Pseudonymiser(b"key")
     text = "4111111111111112 2021-02-30 000-12-3456 999.1.1.1 DE00 3704 0044 0532 0130 00 version 4.0.1"
