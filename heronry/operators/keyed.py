@@ -57,7 +57,8 @@ def apply_changes(
     """Apply inserts, updates and deletes by key; of several changes to a key the last one counts.
 
     Inserts and updates carry the whole row. Finding the last change keeps one row per key and task
-    before the shuffle, so a key with very many changes is no bottleneck.
+    before the shuffle, so a key with very many changes is no bottleneck. Rows of the table without a key
+    match no change and stay; they do not go through the join, where they would meet in one task.
     """
     last = latest_per_key(changes, [key], *sequence).select(
         F.col(key).alias("__key"),
@@ -65,13 +66,15 @@ def apply_changes(
         *[F.col(c).alias(f"__{c}") for c in table.columns if c != key],
     )
     changed = F.col("__action").isNotNull()
-    rows = table.join(last, F.col(key) == F.col("__key"), "full_outer")
-    return rows.where(~changed | (F.col("__action") != "delete")).select(
+    keyed = table.where(F.col(key).isNotNull())
+    rows = keyed.join(last, F.col(key) == F.col("__key"), "full_outer")
+    changed_rows = rows.where(~changed | (F.col("__action") != "delete")).select(
         *[
             F.when(changed, F.col("__key" if c == key else f"__{c}")).otherwise(F.col(c)).alias(c)
             for c in table.columns
         ]
     )
+    return changed_rows.unionByName(table.where(F.col(key).isNull()))
 
 
 def update_where(df: DataFrame, column: str, value: Column, condition: Column) -> DataFrame:
