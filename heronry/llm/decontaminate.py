@@ -84,6 +84,8 @@ class Blocks:
         if len(self.sent) > 1:
             for block in self.sent:
                 yield Queries(block.value, self.width)
+                # Loaded again when needed, so that a task holds one block at a time.
+                block.__dict__.pop("_value", None)
             return
         if self._prepared is None:
             self._prepared = Queries(self.sent[0].value, self.width)

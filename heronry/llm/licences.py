@@ -103,7 +103,7 @@ def licences(
         return F.trim(F.translate(passage, "\n", " "))
 
     def in_bounds(passage: Column) -> Column:
-        # Distinct bigrams are at most words - 1; the least bound holds for them as well.
+        # Distinct bigrams are at most words - 1, so a shorter passage cannot reach the least bound.
         least = min((lo for lo, _ in bounds), default=1)
         return F.length(passage) - F.length(F.replace(passage, F.lit(" "), F.lit(""))) >= least
 
@@ -111,11 +111,10 @@ def licences(
     rows = rows.select("doc_id", single.alias("plain"))
     lines = F.split("plain", "\n")
     paragraphs = F.transform(F.split("plain", "\n\n+"), flat)
-    # A text of many words cannot match as a whole; its bigrams are made only if their number may fit.
     passages = F.array_distinct(
         F.filter(F.concat(F.transform(lines, lambda x: F.trim(x)), paragraphs, F.array(flat(F.col("plain")))), in_bounds)
     )
-    # Bigrams are made per passage once, then pruned by the exact size bounds.
+    # A long passage may repeat few bigrams, so the upper bound applies to the distinct ones.
     most = max((hi for _, hi in bounds), default=0)
     grams = F.filter(
         F.transform(F.transform(passages, lambda p: F.regexp_replace(p, " +", " ")), _bigrams),

@@ -138,17 +138,18 @@ def trie_links(keys: np.ndarray, top: int, differing: int) -> Forest:
         lo1, hi1, lo2, hi2, errors = (x[inner] for x in (lo1, hi1, lo2, hi2, errors))
         mid1, mid2 = _middle(keys, lo1, depth), _middle(keys, lo2, depth)
         mid1, mid2 = np.clip(mid1, lo1, hi1), np.clip(mid2, lo2, hi2)
-        same = (lo1 == lo2) & (hi1 == hi2)
-        other = ~same
+        # A node paired with itself has one pair of unlike children, two nodes have two.
+        two = lo1 != lo2
+        # The likest children are pushed last and followed first: what they link need not be followed again.
         children = (
             (lo1, mid1, mid2, hi2, errors + 1),
-            *(((mid1[other], hi1[other], lo2[other], mid2[other], errors[other] + 1),)),
+            (mid1[two], hi1[two], lo2[two], mid2[two], errors[two] + 1),
             (mid1, hi1, mid2, hi2, errors),
             (lo1, mid1, lo2, mid2, errors),
         )
         for child in children:
-            a, b, c, d, e = child
-            real = (a < b) & (c < d) & (e <= differing)
+            begin1, end1, begin2, end2, differ = child
+            real = (begin1 < end1) & (begin2 < end2) & (differ <= differing)
             if real.any():
                 stack.append((depth + 1, *(x[real] for x in child)))
     return groups

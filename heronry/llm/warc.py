@@ -156,7 +156,7 @@ def _digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by (record_id, chunk_no) → one row for each record, its digest carried from chunk to
     chunk and from batch to batch."""
     state, now = hashlib.sha256(), None
-    total = ended = 0
+    total = 0
     done: list[tuple] = []
     for batch in batches:
         for record, no, last, content in zip(*(c.to_pylist() for c in batch.columns)):
