@@ -24,8 +24,9 @@ BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Runs of white space with the run of other characters that follows. No match of the pattern goes on
 # from other characters into white space, so each such stretch is split by itself.
 STRETCH = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
-# Distinct words a task remembers before it starts afresh, and the longest ones it remembers.
-REMEMBERED = 200_000
+# Distinct words, and distinct pieces of words, that a task remembers before it starts afresh; and the
+# longest ones it remembers.
+REMEMBERED = 250_000
 REMEMBERED_CHARS = 48
 # Longer pieces are folded with a heap, whose time is nearly linear in the length.
 SHORT_PIECE = 48
@@ -90,26 +91,33 @@ def _fold_long(piece: bytes, ranks: Ranks) -> list[int]:
 
 
 class Encoder:
-    """Encodes texts; remembers distinct words in a table of bounded size."""
+    """Encodes texts; remembers distinct words and pieces in tables of bounded size."""
 
     def __init__(self, ranks: Ranks, pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern)
         self.words: dict[str, bytes] = {}
-
-    def _stretch(self, word: str) -> bytes:
-        ids: list[int] = []
-        for piece in self.split.findall(word):
-            ids += fold(piece.encode(), self.ranks)
-        made = np.array(ids, "<u4").tobytes()
-        if len(word) <= REMEMBERED_CHARS:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            self.words[word] = made
+        self.pieces: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        known, make = self.pieces.get, self._piece
+        made = b"".join([known(p) or make(p) for p in self.split.findall(word)])
+        return self._remember(self.words, word, made)
+
+    def _piece(self, piece: str) -> bytes:
+        made = np.array(fold(piece.encode(), self.ranks), "<u4").tobytes()
+        return self._remember(self.pieces, piece, made)
+
+    @staticmethod
+    def _remember(table: dict[str, bytes], key: str, made: bytes) -> bytes:
+        if len(key) <= REMEMBERED_CHARS:
+            if len(table) >= REMEMBERED:
+                table.clear()
+            table[key] = made
         return made
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        known, make = self.words.get, self._stretch
+        known, make = self.words.get, self._word
         return b"".join([known(w) or make(w) for w in STRETCH.findall(text)])
 
 

@@ -216,6 +216,90 @@ FROM doc LEFT JOIN best USING (r)
     ),
 )
 
+DIVERGENCE_SQL = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, coalesce(text, '') AS t,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), win AS (
+  SELECT r, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+  FROM doc, unnest(generate_series(1, len(w) - 2)) AS g(i)
+), repeated AS (
+  SELECT r, count(DISTINCT k) AS n
+  FROM (SELECT r, i, count(*) OVER (PARTITION BY r, s) AS c FROM win),
+    unnest(generate_series(i, i + 2)) AS g(k)
+  WHERE c > 1 GROUP BY r
+), line AS (
+  SELECT r, count(*) - count(DISTINCT x) AS n
+  FROM (SELECT r, unnest(string_split(t, chr(10))) AS x FROM doc)
+  WHERE regexp_matches(x, '[^\x20\x09-\x0D]') GROUP BY r
+), base AS (
+  SELECT r, doc_id, lang, t, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+    len(regexp_extract_all(t, '[#*$%&|<>]')) AS n_symbols,
+    coalesce(line.n, 0) AS n_dup_lines, coalesce(repeated.n, 0) AS n_repeat_words
+  FROM doc LEFT JOIN line USING (r) LEFT JOIN repeated USING (r)
+), judged AS (
+  SELECT *, n_words < {least_words} OR 100 * n_repeat_words > {most_repeated} * n_words AS base_failed
+  FROM base
+), class AS (
+  SELECT r, len(regexp_extract_all(t, '\p{{Ll}}')) AS lower, len(regexp_extract_all(t, '\p{{Lu}}')) AS upper,
+    len(regexp_extract_all(t, '[0-9]')) AS digit, n_symbols AS symbol, length(t) - word_chars AS blank,
+    word_chars - lower - upper - digit - symbol AS other
+  FROM judged
+), common AS (
+  SELECT r, x AS bin, count(*) AS n
+  FROM (SELECT r, unnest(string_split(lower(regexp_replace(t, '[^\p{{L}}]+', ' ', 'g')), ' ')) AS x FROM doc)
+  WHERE x IN ({words}) GROUP BY r, x
+), hist AS (
+  SELECT r, 'class' AS kind, bin, n FROM class
+  UNPIVOT (n FOR bin IN (lower, upper, digit, symbol, blank, other))
+  UNION ALL
+  SELECT r, 'word', bin, n FROM common
+  UNION ALL
+  SELECT r, 'word', '*', greatest(n_words - coalesce(c, 0), 0)
+  FROM judged LEFT JOIN (SELECT r, sum(n) AS c FROM common GROUP BY r) USING (r)
+), share AS (
+  SELECT r, kind, bin, CAST(n AS DOUBLE) / greatest(sum(n) OVER (PARTITION BY r, kind), 1) AS p FROM hist
+), pooled AS (
+  SELECT lang, kind, bin, sum(n) AS n FROM hist JOIN judged USING (r)
+  WHERE NOT base_failed AND lang IN ({languages}) GROUP BY lang, kind, bin
+), reference AS (
+  SELECT lang, kind, bin, CAST(n AS DOUBLE) / sum(n) OVER (PARTITION BY lang, kind) AS q
+  FROM pooled
+  WHERE lang IN (SELECT lang FROM pooled WHERE kind = 'word' GROUP BY lang HAVING sum(n) >= {reference_words})
+), pair AS (
+  SELECT s.r, f.lang, f.kind, s.p, f.q FROM share s JOIN reference f ON s.kind = f.kind AND s.bin = f.bin
+  UNION ALL
+  SELECT a.r, f.lang, f.kind, 0, f.q FROM (SELECT r FROM doc) a, reference f
+  WHERE NOT EXISTS (SELECT 1 FROM share s WHERE s.r = a.r AND s.kind = f.kind AND s.bin = f.bin)
+  UNION ALL
+  SELECT s.r, l.lang, s.kind, s.p, 0 FROM share s, (SELECT DISTINCT lang FROM reference) l
+  WHERE NOT EXISTS (SELECT 1 FROM reference f WHERE f.lang = l.lang AND f.kind = s.kind AND f.bin = s.bin)
+), far AS (
+  SELECT r, kind, min(d) AS d FROM (
+    SELECT r, lang, kind, sqrt(greatest(sum(
+      CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+      + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
+    FROM pair GROUP BY r, lang, kind) GROUP BY r, kind
+)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
+  CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
+  CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
+  NOT base_failed AND (n_words < {guard_words} OR (coalesce(c.d, 0) <= {class_distance}
+    AND coalesce(w.d, 0) <= {word_distance})) AS kept
+FROM judged LEFT JOIN (FROM far WHERE kind = 'class') c USING (r)
+LEFT JOIN (FROM far WHERE kind = 'word') w USING (r)
+""".format(
+    least_words=divergence.LEAST_WORDS,
+    most_repeated=divergence.MOST_REPEATED,
+    guard_words=divergence.GUARD_WORDS,
+    reference_words=divergence.REFERENCE_WORDS,
+    class_distance=divergence.MOST_CLASS_DISTANCE,
+    word_distance=divergence.MOST_WORD_DISTANCE,
+    languages=", ".join(f"'{x}'" for x in divergence.LANGUAGES),
+    words=", ".join(f"'{x}'" for x in divergence.WORDS),
+)
+
 WARC_SQL = """
 WITH page AS (
   SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
@@ -232,5 +316,6 @@ FROM page
 ORACLES: dict[str, str] = {
     "op2_licences": LICENCES_SQL,
     "op5_suffix_arrays": CONTAMINATION_SQL,
+    "op7_divergence": DIVERGENCE_SQL,
     "op9_warc": WARC_SQL,
 }
