@@ -12,6 +12,10 @@ from pyspark.sql import DataFrame, functions as F
 # Bytes of text that a task holds as Python objects at a time; a longer text is a piece of its own.
 PIECE_BYTES = 4 << 20
 
+# Bytes of an Arrow batch between Spark and Python. A task holds several (in the JVM, in Python, read and
+# written), and Spark's own limit of 64 MB would be most of a small executor.
+BATCH_BYTES = 8 << 20
+
 # A-Z lower-cased, everything else kept.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 # A-Z lower-cased; every byte that is no ASCII letter, digit or part of a longer character is a blank.
@@ -39,6 +43,17 @@ def utf8(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
 
 
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, in a session whose Arrow batches have at most ``BATCH_BYTES``. A lower limit that the session
+    has stays; the setting is read when a query runs, so it is not reset."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    now = conf.get(name).lower().removesuffix("b")
+    if not now.isdigit() or not 0 < int(now) <= BATCH_BYTES:
+        conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def map_texts(
     df: DataFrame,
     function: Callable[[pa.RecordBatch], dict[str, object]],
@@ -61,4 +76,4 @@ def map_texts(
             ]
             yield pa.RecordBatch.from_arrays(arrays, names=[*keep, *made])
 
-    return df.select(*[F.col(c) for c in read]).mapInArrow(run, schema)
+    return bounded_batches(df).select(*[F.col(c) for c in read]).mapInArrow(run, schema)

@@ -26,7 +26,7 @@ BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 STRETCH = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
 # Distinct words, and distinct pieces of words, that a task remembers before it starts afresh; and the
 # longest ones it remembers.
-REMEMBERED = 250_000
+REMEMBERED = 120_000
 REMEMBERED_CHARS = 48
 # Longer pieces are folded with a heap, whose time is nearly linear in the length.
 SHORT_PIECE = 48
@@ -146,34 +146,46 @@ class Tokenizer:
             self._pieces = table
         return self._pieces
 
+    def _ids(self, texts: pa.Array) -> list[bytes]:
+        encode = self.encoder().encode
+        return [encode(t or "") for t in texts.to_pylist()]
+
+    def _bytes(self, ids: list[bytes | None]) -> list[bytes]:
+        table = self.pieces()
+        return [b"".join(table[np.frombuffer(v or b"", "<u4")].tolist()) for v in ids]
+
     def encode(self, docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
         """Columns ``keep`` and ``ids``: the ids of each text as little-endian 32-bit integers in one
         binary value. Null and empty texts have no ids. Repeated rows are each encoded."""
 
         def add(piece: pa.RecordBatch) -> dict[str, object]:
-            encode = self.encoder().encode
-            ids = [encode(t or "") for t in piece.column(text).to_pylist()]
-            return {"ids": pa.array(ids, pa.binary())}
+            return {"ids": pa.array(self._ids(piece.column(text)), pa.binary())}
 
-        kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-        schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-        return map_texts(docs, add, keep, f"{schema}, ids binary", text)
+        return map_texts(docs, add, keep, f"{_typed(docs, keep)}, ids binary", text)
 
     def decode(self, rows: DataFrame, keep: list[str], ids: str = "ids") -> DataFrame:
         """Columns ``keep`` and ``decoded``: the bytes of the ids. An id that the vocabulary lacks is an
         error; null counts as no ids."""
 
         def add(piece: pa.RecordBatch) -> dict[str, object]:
-            table = self.pieces()
-            made = [
-                b"".join(table[np.frombuffer(v or b"", "<u4")].tolist())
-                for v in piece.column(ids).to_pylist()
-            ]
-            return {"decoded": pa.array(made, pa.binary())}
+            return {"decoded": pa.array(self._bytes(piece.column(ids).to_pylist()), pa.binary())}
+
+        return map_texts(rows, add, keep, f"{_typed(rows, keep)}, decoded binary", ids)
+
+    def round_trip(self, docs: DataFrame, keep: list[str], text: str = "text") -> DataFrame:
+        """Columns ``keep``, ``ids`` and ``decoded``: :meth:`encode` and :meth:`decode` in one pass, so that
+        a task needs one Python process and not two."""
+
+        def add(piece: pa.RecordBatch) -> dict[str, object]:
+            ids = self._ids(piece.column(text))
+            return {"ids": pa.array(ids, pa.binary()), "decoded": pa.array(self._bytes(ids), pa.binary())}
+
+        return map_texts(docs, add, keep, f"{_typed(docs, keep)}, ids binary, decoded binary", text)
+
 
-        kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
-        schema = ", ".join(f"`{c}` {kinds[c]}" for c in keep)
-        return map_texts(rows, add, keep, f"{schema}, decoded binary", ids)
+def _typed(df: DataFrame, columns: list[str]) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema}
+    return ", ".join(f"`{c}` {kinds[c]}" for c in columns)
 
 
 def round_trip_digests(docs: DataFrame, tokenizer: Tokenizer, text: str = "text") -> DataFrame:
@@ -184,8 +196,7 @@ def round_trip_digests(docs: DataFrame, tokenizer: Tokenizer, text: str = "text"
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     ).withColumn("text_sha256", F.sha2("text", 256))
-    encoded = tokenizer.encode(rows, ["doc_id", "text_sha256"])
-    both = tokenizer.decode(encoded, ["doc_id", "text_sha256", "ids"])
+    both = tokenizer.round_trip(rows, ["doc_id", "text_sha256"])
     digest = F.sha2("decoded", 256)
     return both.select(
         "doc_id",

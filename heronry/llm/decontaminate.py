@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from heronry.llm.batches import WORDS, map_texts, pieces, utf8
+from heronry.llm.batches import WORDS, bounded_batches, map_texts, pieces, utf8
 
 WINDOW_WORDS = 10
 # Bytes of benchmark text in a broadcast block; a larger benchmark is sent in several.
@@ -295,4 +295,4 @@ def drop_contaminated(
             bad = _scan(utf8(piece.column(text)), blocks)["contaminated"]
             yield piece.filter(pa.array(~bad))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)

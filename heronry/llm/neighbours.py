@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from heronry.llm.batches import LOWER, map_texts, pieces, utf8
+from heronry.llm.batches import LOWER, bounded_batches, map_texts, pieces, utf8
 from heronry.session import materialize
 
 # Labelled rows of each class that are learned from; a larger class gives those with the smallest hash
@@ -136,7 +136,8 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
         )
 
     sums = (
-        docs.select(F.col(text).cast("string").alias("text"))
+        bounded_batches(docs)
+        .select(F.col(text).cast("string").alias("text"))
         .mapInArrow(count, "bucket long, n long")
         .groupBy("bucket")
         .agg(F.sum("n").alias("n"))

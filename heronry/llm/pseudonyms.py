@@ -17,7 +17,7 @@ from collections.abc import Callable
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from heronry.llm.batches import pieces
+from heronry.llm.batches import bounded_batches, pieces
 
 ROUNDS = 8
 KINDS = ("email", "iban", "card", "ssn", "phone", "ip", "date", "secret")
@@ -285,7 +285,7 @@ def pseudonymised(docs: DataFrame, key: bytes, text: str = "text") -> DataFrame:
             new = [t if t is None else maker.replace(t)[0] for t in piece.column(at).to_pylist()]
             yield piece.set_column(at, piece.schema.field(at), pa.array(new, piece.schema.field(at).type))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)
 
 
 def pseudonym_report(docs: DataFrame, key: bytes, id_col: str = "doc_id", text: str = "text") -> DataFrame:
@@ -311,4 +311,4 @@ def pseudonym_report(docs: DataFrame, key: bytes, id_col: str = "doc_id", text:
                 names=["doc_id", "text", *names],
             )
 
-    return rows.mapInArrow(run, schema)
+    return bounded_batches(rows).mapInArrow(run, schema)

@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from heronry.llm.batches import bounded_batches
 from heronry.session import fresh_path, materialize
 
 CHUNK_BYTES = 256 << 10
@@ -213,7 +214,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
         F.sha2(body, 256).alias("read_digest"),
     )
     long = (
-        payload.where(F.col("n_chunks") > 1)
+        bounded_batches(payload)
+        .where(F.col("n_chunks") > 1)
         .select("record_id", "chunk_no", "n_chunks", "content")
         .repartition("record_id")
         .sortWithinPartitions("record_id", "chunk_no")

@@ -59,7 +59,7 @@ def test_bpe_remembers_a_bounded_number_of_words(monkeypatch, reference):
     encoder = bpe.Encoder(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
     text = " ".join(f"word{i}" for i in range(200))
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference.encode_ordinary(text)
-    assert len(encoder.words) <= 10
+    assert len(encoder.words) <= 10 and len(encoder.pieces) <= 10
 
 
 def test_bpe_query(spark, sf_dir, reference):
