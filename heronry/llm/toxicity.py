@@ -16,16 +16,16 @@ import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from heronry.llm.batches import WORDS, map_texts, pieces, utf8
+from heronry.llm.batches import WORDS, bounded_batches, map_texts, pieces, utf8
 from heronry.session import materialize
 
 # Labelled rows of each class that are learned from; a larger class gives those with the smallest hash
 # of the id.
 MAX_ROWS_PER_CLASS = 8_000
-SHARDS = 8
+SHARDS = 4
 EPOCHS = 8
-# A feature is learned if so many rows of a shard have it.
-MIN_ROWS = 3
+# A feature is learned if so many rows of one shard have it. Rarer ones could hardly pass the L1 bound.
+MIN_ROWS = 4
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 4.0, 0.0
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
@@ -104,39 +104,53 @@ def training_rows(
     return rows.join(F.broadcast(one.unionAll(other)), "doc_id")
 
 
-def _packed_shard(table: pa.Table) -> pa.Table:
-    """A shard's rows as one: the features that at least ``MIN_ROWS`` of its rows have, and for each row,
-    in the order of the ids, their places among them, all rows in a row; lengths; labels."""
-    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    made = [np.unique(hashes(t)) for t in utf8(table["text"].combine_chunks())]
-    found, n = np.unique(np.concatenate(made), return_counts=True)
-    known = found[n >= MIN_ROWS]
-    places = [np.flatnonzero(np.isin(known, m, assume_unique=True)).astype(np.int32) for m in made]
-    parts = {
-        "known": known.astype("<u4"),
-        "places": np.concatenate(places).astype("<i4"),
-        "lengths": np.array([len(p) for p in places], "<i4"),
-        "labels": table["label"].to_numpy().astype("<i4"),
-    }
-    return pa.table({k: pa.array([v.tobytes()], pa.binary()) for k, v in parts.items()})
+def _shard_features(table: pa.Table) -> list[np.ndarray]:
+    return [np.unique(hashes(t)) for t in utf8(table["text"].combine_chunks())]
+
+
+def _frequent(table: pa.Table) -> pa.Table:
+    """The features that at least ``MIN_ROWS`` rows of a shard have."""
+    found, n = np.unique(np.concatenate(_shard_features(table)), return_counts=True)
+    return pa.table({"features": pa.array([found[n >= MIN_ROWS].astype("<u4").tobytes()], pa.binary())})
+
+
+def _packed(vocabulary: Broadcast) -> Callable[[pa.Table], pa.Table]:
+    """A shard's rows as one, in the order of the ids: the places of their features in the vocabulary, all
+    rows in a row; lengths; labels."""
+
+    def run(table: pa.Table) -> pa.Table:
+        known = vocabulary.value
+        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        places = []
+        for found in _shard_features(table):
+            at = np.searchsorted(known, found)
+            places.append(at[known[np.minimum(at, len(known) - 1)] == found] if len(known) else at[:0])
+        parts = {
+            "places": np.concatenate(places).astype("<i4"),
+            "lengths": np.array([len(p) for p in places], "<i4"),
+            "labels": table["label"].to_numpy().astype("<i4"),
+        }
+        return pa.table({k: pa.array([v.tobytes()], pa.binary()) for k, v in parts.items()})
+
+    return run
 
 
 def _epoch(state: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """One pass over each packed shard: by how much it moves which coordinates of ``state``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        features, z0, n0 = state.value
+        z0, n0 = state.value
         for batch in batches:
             for row in batch.to_pylist():
-                z, n = z0.copy(), n0.copy()
+                z, n = z0.astype(float), n0.astype(float)
                 # Place 0 of the state is the bias.
-                at = np.searchsorted(features, np.frombuffer(row["known"], "<u4")) + 1
-                places = at[np.frombuffer(row["places"], "<i4")]
+                places = np.frombuffer(row["places"], "<i4") + 1
                 ends = np.cumsum(np.frombuffer(row["lengths"], "<i4"))[:-1]
                 rows = [np.concatenate([[0], p]) for p in np.split(places, ends)]
                 learn(rows, np.frombuffer(row["labels"], "<i4").tolist(), z, n)
                 moved = np.flatnonzero(n != n0)
-                parts = (moved.astype("<i8"), (z - z0)[moved], (n - n0)[moved])
+                changes = ((z - z0)[moved].astype("<f4"), (n - n0)[moved].astype("<f4"))
+                parts = (moved.astype("<i4"), *changes)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([p.tobytes()], pa.binary()) for p in parts], names=["at", "dz", "dn"]
                 )
@@ -159,31 +173,38 @@ def train(
     """
     spark = docs.sparkSession
     shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
-    packed = materialize(
+    sample = materialize(
         training_rows(docs, labels, label_col, id_col, text, bound)
         .withColumn("shard", shard)
-        .repartition(SHARDS, "shard")
-        .groupBy("shard")
-        .applyInArrow(_packed_shard, "known binary, places binary, lengths binary, labels binary"),
-        "training",
+        .repartition(SHARDS, "shard"),
+        "training-rows",
     )
+    shards = sample.repartition(SHARDS, "shard").groupBy("shard")
     # One row for each shard, of a size that the bounded sample bounds.
-    known = [np.frombuffer(r["known"], "<u4") for r in packed.select("known").toLocalIterator()]
-    if not known:
+    frequent = shards.applyInArrow(_frequent, "features binary").toLocalIterator()
+    found = [np.frombuffer(row["features"], "<u4") for row in frequent]
+    if not found:
         return Model(np.zeros(0, np.uint32), np.zeros(0, np.float32), -np.inf)
-    features = np.unique(np.concatenate(known))
+    features = np.unique(np.concatenate(found))
+    packed = materialize(
+        shards.applyInArrow(
+            _packed(spark.sparkContext.broadcast(features)),
+            "places binary, lengths binary, labels binary",
+        ),
+        "training",
+    )
     z, n = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
     for _ in range(EPOCHS):
-        state = spark.sparkContext.broadcast((features, z, n))
-        dz, dn, shards = np.zeros(len(z)), np.zeros(len(z)), np.zeros(len(z))
+        state = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
+        dz, dn, times = np.zeros(len(z)), np.zeros(len(z)), np.zeros(len(z))
         for row in packed.mapInArrow(_epoch(state), "at binary, dz binary, dn binary").toLocalIterator(True):
-            at = np.frombuffer(row["at"], "<i8")
-            dz[at] += np.frombuffer(row["dz"], "<f8")
-            dn[at] += np.frombuffer(row["dn"], "<f8")
-            shards[at] += 1
-        z = z + dz / np.maximum(shards, 1)
-        n = n + dn / np.maximum(shards, 1)
-        state.unpersist()
+            at = np.frombuffer(row["at"], "<i4")
+            dz[at] += np.frombuffer(row["dz"], "<f4")
+            dn[at] += np.frombuffer(row["dn"], "<f4")
+            times[at] += 1
+        z = z + dz / np.maximum(times, 1)
+        n = n + dn / np.maximum(times, 1)
+        state.destroy()
     l1 = np.full(len(z), L1)
     l1[0] = 0
     w = _weights(z, n, l1)
@@ -213,4 +234,4 @@ def drop_toxic(docs: DataFrame, model: Model, text: str = "text", bound: float =
             score = Model(*sent.value).score
             yield piece.filter(pa.array([score(t) < bound for t in utf8(piece.column(text))], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return bounded_batches(docs).mapInArrow(run, docs.schema)
