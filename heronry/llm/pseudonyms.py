@@ -43,7 +43,12 @@ FORMS = {
 EMAIL = re.compile(
     r"(?<![\w.%+-])(?P<local>[\w.%+-]+)@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
 )
-TWO_DIGITS = re.compile("[0-9]{2}")
+DIGIT = re.compile("[0-9]")
+# Characters of an IBAN in countries whose texts are expected.
+IBAN_LENGTHS = {
+    "AT": 20, "BE": 16, "CH": 21, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27,
+    "IE": 22, "IT": 27, "LU": 20, "NL": 18, "NO": 15, "PL": 28, "PT": 25, "SE": 24,
+}
 
 
 class Feistel:
@@ -117,6 +122,14 @@ def _iban(text: str, move) -> str | None:
     return "".join(c if c == " " else next(marks) for c in text)
 
 
+def _iban_ends(text: str) -> list[int]:
+    """Where an IBAN that begins ``text`` may end, as the form may take in following words: at the
+    country's length first, then the longest first."""
+    ends = [len(text), *(i for i in range(len(text) - 1, 0, -1) if text[i] == " ")]
+    usual = IBAN_LENGTHS.get(text[:2])
+    return sorted(ends, key=lambda end: len(text[:end].replace(" ", "")) != usual)
+
+
 def _ssn(text: str, move) -> str | None:
     area, group, serial = map(int, text.split("-"))
     if area in (0, 666) or area >= 900 or not group or not serial:
@@ -161,19 +174,29 @@ def _date(text: str, move) -> str | None:
     year, month, day = (
         parts if year_first else (parts[2], parts[1], parts[0]) if day_first else (parts[2], *parts[:2])
     )
+    swapped = False
     try:
         date = datetime.date(int(year), int(month), int(day))
     except ValueError:
-        return None
+        if year_first:
+            return None
+        day_first, swapped, day, month = not day_first, True, month, day
+        try:
+            date = datetime.date(int(year), int(month), int(day))
+        except ValueError:
+            return None
     # Within two centuries (1900 to 2099, 2100 to 2299, ...); days and months of one digit and of two
     # are moved among themselves, so the text keeps its length.
     first = (date.year - 100) // 200 * 200 + 100
     begin = datetime.date(max(1, first), 1, 1).toordinal()
     end = datetime.date(min(9999, first + 199), 12, 31).toordinal() + 1
     long_day, long_month = len(day) == 2, len(month) == 2
-    padded = (day[0] == "0" and long_day) or (month[0] == "0" and long_month)
+    padded = (day[0] == "0" and long_day) or (month[0] == "0" and long_month) or (swapped and long_month)
 
     def fits(d: datetime.date) -> bool:
+        # The other order is only read where the day is no month, so such dates stay among themselves.
+        if swapped and d.day <= 12:
+            return False
         if padded or (long_day and long_month and sep == "-" and year_first):
             return True
         return (d.day > 9) == long_day and (d.month > 9) == long_month
@@ -244,8 +267,7 @@ class Pseudonymiser:
         spans: list[tuple[int, int, str, str]] = []
         taken = bytearray()
 
-        def note(match: re.Match, kind: str, new: str | None) -> None:
-            begin, end = match.span()
+        def note(begin: int, end: int, kind: str, new: str | None) -> None:
             if new is None or any(taken[begin:end]):
                 return
             if not taken:
@@ -256,13 +278,27 @@ class Pseudonymiser:
         if "@" in text:
             for m in EMAIL.finditer(text):
                 local = _email_local(m["local"], self._move(f"email|{m['host'].lower()}"))
-                note(m, "email", f"{local}@{m['host']}")
-        if TWO_DIGITS.search(text):
+                note(*m.span(), "email", f"{local}@{m['host']}")
+        if DIGIT.search(text):
             for kind, form in FORMS.items():
+                if kind == "iban":
+                    self._note_ibans(text, note)
+                    continue
                 for m in form.finditer(text):
-                    note(m, kind, MAKERS[kind](m.group(), self._move(kind)))
+                    note(*m.span(), kind, MAKERS[kind](m.group(), self._move(kind)))
         return sorted(spans)
 
+    def _note_ibans(self, text: str, note: Callable) -> None:
+        at, move = 0, self._move("iban")
+        while m := FORMS["iban"].search(text, at):
+            # Where nothing fits, the next one may begin inside what the form took in.
+            at = m.start() + 1
+            for size in _iban_ends(m.group()):
+                if (new := _iban(m.group()[:size], move)) is not None:
+                    at = m.start() + size
+                    note(m.start(), at, "iban", new)
+                    break
+
     def replace(self, text: str) -> tuple[str, dict[str, int]]:
         """The text with its validated values replaced, and how many of each kind."""
         counts: dict[str, int] = {}

@@ -139,6 +139,42 @@ def test_values_that_are_not_valid_stay():
     assert maker.replace(text) == (text, {})
 
 
+@pytest.mark.parametrize("value", ["25/12/2020", "31/01/1999", "12-31-1999", "12.31.1999"])
+def test_dates_in_the_other_order(value):
+    for key in (b"key", b"other", b"third"):
+        maker = pseudonyms.Pseudonymiser(key)
+        new, counts = maker.replace(f"le {value}, a")
+        assert counts == {"date": 1} and value not in new and len(new) == len(value) + 6
+        # It is read in the same order again, so no other date has the same pseudonym.
+        parts = re.split("[-/.]", new[3:-3])
+        assert int(parts[0 if value[:2] > "12" else 1]) > 12
+    assert maker.replace("31/04/2020 31-31-1999 13/13/2000")[1] == {}
+
+
+def test_other_orders_stay_one_to_one():
+    maker = pseudonyms.Pseudonymiser(b"key")
+    days = [f"{a:02d}/{b:02d}/2020" for a in range(1, 32) for b in range(1, 13) if a > 12]
+    made = [maker.replace(d)[0] for d in days if maker.replace(d)[1]]
+    assert len(made) > 200 and len(set(made)) == len(made)
+
+
+def test_an_address_of_single_digits_is_found_alone():
+    maker = pseudonyms.Pseudonymiser(b"key")
+    new, counts = maker.replace("at 8.8.8.8 now")
+    assert counts == {"ip": 1} and maker.replace("at 8.8.8.8 now 2020")[0] == f"{new} 2020"
+
+
+@pytest.mark.parametrize("after", ["2021", "BIC", "ABCD 1234", "DE89 3704 0044 0532 0130 00", "+34 912 345 678"])
+def test_an_iban_before_other_words(after):
+    maker = pseudonyms.Pseudonymiser(b"key")
+    value = "ES91 2100 0418 4502 0005 1332"
+    alone = maker.replace(value)[0]
+    new, counts = maker.replace(f"{value} {after}")
+    assert alone != value and new.startswith(f"{alone} ")
+    assert counts["iban"] == (2 if after.startswith("DE89") else 1)
+    assert maker.replace(f"AB12 {value}")[0] == f"AB12 {alone}"
+
+
 def test_pseudonyms_of_odd_rows(spark):
     rows = docs(spark, [*ODD_ROWS, (9, "card 4111111111111111")]).withColumn("n_card", F.lit("clash"))
     report = pseudonyms.pseudonym_report(rows, b"k")
