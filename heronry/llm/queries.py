@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heronry.llm import (
     bpe,
+    collisions,
+    collocations,
     decontaminate,
     divergence,
     licences,
@@ -17,6 +19,7 @@ from heronry.llm import (
     shards,
     simhash,
     toxicity,
+    variants,
     warc,
 )
 
@@ -119,6 +122,18 @@ def op10_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_collision_counting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collisions.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_licences": op2_licences,
@@ -130,6 +145,9 @@ QUERIES: dict[str, Query] = {
     "op8_toxicity": op8_toxicity,
     "op9_warc": op9_warc,
     "op10_neighbours": op10_neighbours,
+    "op11_collision_counting": op11_collision_counting,
+    "op12_collocations": op12_collocations,
+    "op13_variants": op13_variants,
 }
 
 CONTAMINATION_SQL = r"""
@@ -313,9 +331,51 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM page
 """
 
+COLLOCATIONS_SQL = r"""
+WITH piece AS (
+  SELECT lang, regexp_extract_all(s, '[^\x20\x09]+') AS w FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS s
+    FROM documents)
+), gram AS (
+  SELECT lang, k, array_to_string(list_slice(w, i, i + k - 1), ' ') AS phrase
+  FROM piece, unnest([1, 2, 3, 4]) AS t(k), unnest(generate_series(1, len(w) - k + 1)) AS g(i)
+), f AS (
+  SELECT lang, k, phrase, count(*) AS c, string_split(phrase, ' ') AS w FROM gram GROUP BY lang, k, phrase
+), total AS (
+  SELECT lang, sum(c) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidate AS (
+  SELECT * FROM f WHERE k >= 2 AND c >= {least}
+), cut AS (
+  SELECT q.lang, q.phrase, q.c AS a, i, x.c AS l, y.c AS r,
+    CAST({scale}::HUGEINT * q.c // (x.c + y.c) AS BIGINT) AS score
+  FROM candidate q, unnest(generate_series(1, q.k - 1)) AS g(i)
+  JOIN f x ON x.lang = q.lang AND x.phrase = array_to_string(list_slice(q.w, 1, i), ' ')
+  JOIN f y ON y.lang = q.lang AND y.phrase = array_to_string(list_slice(q.w, i + 1, q.k), ' ')
+), weakest AS (
+  SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, i) = 1
+), inside AS (
+  SELECT lang, array_to_string(list_slice(w, i, i + s - 1), ' ') AS phrase, max(c) AS longest
+  FROM candidate, unnest(generate_series(2, k - 1)) AS t(s), unnest(generate_series(1, k - s + 1)) AS g(i)
+  GROUP BY ALL
+), ranked AS (
+  SELECT weakest.*, row_number() OVER (PARTITION BY weakest.lang ORDER BY score DESC, a DESC, weakest.phrase) AS rank
+  FROM weakest LEFT JOIN inside ON inside.lang = weakest.lang AND inside.phrase = weakest.phrase
+  WHERE longest IS NULL OR 100 * longest < {covered} * a
+)
+SELECT lang, rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score
+FROM ranked JOIN total USING (lang) WHERE rank <= {top}
+""".format(
+    least=collocations.LEAST,
+    scale=collocations.SCALE,
+    covered=collocations.COVERED,
+    top=collocations.TOP,
+)
+
 ORACLES: dict[str, str] = {
     "op2_licences": LICENCES_SQL,
     "op5_suffix_arrays": CONTAMINATION_SQL,
     "op7_divergence": DIVERGENCE_SQL,
     "op9_warc": WARC_SQL,
+    "op12_collocations": COLLOCATIONS_SQL,
 }
