@@ -11,6 +11,8 @@ import base64
 import hashlib
 import heapq
 import re
+import sys
+import types
 
 import numpy as np
 import pyarrow as pa
@@ -24,9 +26,9 @@ BLANKS = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Runs of white space with the run of other characters that follows. No match of the pattern goes on
 # from other characters into white space, so each such stretch is split by itself.
 STRETCH = re.compile(f"[{BLANKS}]*[^{BLANKS}]+|[{BLANKS}]+")
-# Distinct words, and distinct pieces of words, that a task remembers before it starts afresh; and the
-# longest ones it remembers.
-REMEMBERED = 120_000
+# Distinct words, and distinct pieces of words, that each of two generations remembers; and the longest ones
+# that are remembered. An entry takes some 200 bytes.
+REMEMBERED = 160_000
 REMEMBERED_CHARS = 48
 # Longer pieces are folded with a heap, whose time is nearly linear in the length.
 SHORT_PIECE = 48
@@ -90,37 +92,58 @@ def _fold_long(piece: bytes, ranks: Ranks) -> list[int]:
     return [ranks[piece[i : end[i]]] for i in range(n) if alive[i]]
 
 
+class Remembered:
+    """What was made of distinct strings, in two generations: what is asked for again moves on into the
+    young one, and the old one is forgotten when the young one is full. So frequent strings stay."""
+
+    def __init__(self):
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def older(self, key: str) -> bytes | None:
+        """A string that the young generation lacks."""
+        made = self.old.get(key)
+        return self.add(key, made) if made is not None else None
+
+    def add(self, key: str, made: bytes) -> bytes:
+        if len(key) <= REMEMBERED_CHARS:
+            if len(self.young) >= REMEMBERED:
+                self.old, self.young = self.young, {}
+            self.young[key] = made
+        return made
+
+
 class Encoder:
     """Encodes texts; remembers distinct words and pieces in tables of bounded size."""
 
     def __init__(self, ranks: Ranks, pattern: str):
         self.ranks, self.split = ranks, regex.compile(pattern)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = Remembered(), Remembered()
 
     def _word(self, word: str) -> bytes:
-        known, make = self.pieces.get, self._piece
+        if (made := self.words.older(word)) is not None:
+            return made
+        known, make = self.pieces.young.get, self._piece
         made = b"".join([known(p) or make(p) for p in self.split.findall(word)])
-        return self._remember(self.words, word, made)
+        return self.words.add(word, made)
 
     def _piece(self, piece: str) -> bytes:
-        made = np.array(fold(piece.encode(), self.ranks), "<u4").tobytes()
-        return self._remember(self.pieces, piece, made)
-
-    @staticmethod
-    def _remember(table: dict[str, bytes], key: str, made: bytes) -> bytes:
-        if len(key) <= REMEMBERED_CHARS:
-            if len(table) >= REMEMBERED:
-                table.clear()
-            table[key] = made
-        return made
+        if (made := self.pieces.older(piece)) is not None:
+            return made
+        return self.pieces.add(piece, np.array(fold(piece.encode(), self.ranks), "<u4").tobytes())
 
     def encode(self, text: str) -> bytes:
         """The ids as little-endian unsigned 32-bit integers."""
-        known, make = self.words.get, self._word
+        known, make = self.words.young.get, self._word
         return b"".join([known(w) or make(w) for w in STRETCH.findall(text)])
 
 
+def process_table() -> dict:
+    """A table that lives as long as the worker process. The functions of this package travel by value, so
+    what they keep in their own module is lost with each task."""
+    return sys.modules.setdefault("_heronry_process", types.ModuleType("_heronry_process")).__dict__
+
+
 class Tokenizer:
     """Encoding and decoding of text columns with a rank file's vocabulary."""
 
@@ -133,8 +156,14 @@ class Tokenizer:
         return {"pattern": self.pattern, "sent": self.sent}
 
     def encoder(self) -> Encoder:
+        """The process's encoder: the next task on the same worker goes on with its tables. Only the one used
+        last is kept."""
         if "_encoder" not in self.__dict__:
-            self._encoder = Encoder(self.sent.value, self.pattern)
+            ranks = self.sent.value
+            kept = process_table().get("encoder")
+            if kept is None or kept.split.pattern != self.pattern or kept.ranks != ranks:
+                kept = process_table()["encoder"] = Encoder(ranks, self.pattern)
+            self._encoder = kept
         return self._encoder
 
     def pieces(self) -> np.ndarray:

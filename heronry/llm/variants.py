@@ -35,7 +35,7 @@ SHORTEST, LONGEST = 2, 4
 # Marks at each end: with them, an edit leaves the first or the last gram of a word of five characters.
 MARKS = LONGEST - SHORTEST
 # A gram is frequent above 1 / so many of all places in words, so at most so many of one length are.
-FREQUENT = 4096
+FREQUENT = 32_768
 # Buckets in which the occurrences of grams are added up, to order them by rarity.
 RARITY_BITS = 18
 # Distinct words and grams that a task counts before it hands them on.
@@ -71,14 +71,15 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             # The hash of ``<doc_id>:`` goes on with each run.
             start = zlib.crc32(f"{'' if doc is None else doc}:".encode())
             for part in lowered(text):
-                for run, n in Counter(RUN.findall(part)).items():
+                runs = RUN.findall(part)
+                total.update(runs)
+                for run in set(runs):
                     h = zlib.crc32(run.encode(), start)
                     if h % MISSPELT == 0:
-                        at = h % len(run)
-                        run = run[:at] + run[at + 1 :]
-                        if len(run) < LEAST_LENGTH:
-                            continue
-                    total[run] += n
+                        at, n = h % len(run), runs.count(run)
+                        total[run] -= n
+                        if len(run) > LEAST_LENGTH:
+                            total[run[:at] + run[at + 1 :]] += n
                 if len(total) >= COUNTED:
                     yield _counted(total, "word")
                     total.clear()
@@ -129,22 +130,6 @@ class Grams:
     def __init__(self, extended: frozenset[str], occurrences: np.ndarray):
         self.extended, self.occurrences = extended, occurrences
 
-    @classmethod
-    def of(cls, words: DataFrame) -> Grams:
-        """Counts of all words' grams; what comes to the driver has a fixed greatest size."""
-        grams = materialize(
-            words.mapInArrow(_count_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")),
-            "grams",
-        )
-        short = grams.where(F.length("gram") < LONGEST)
-        places = grams.where(F.length("gram") == SHORTEST).agg(F.sum("n")).first()[0] or 0
-        frequent = short.where(F.col("n") * FREQUENT > places).select("gram").toArrow()["gram"].to_pylist()
-        bucket = F.xxhash64("gram").bitwiseAND(F.lit((1 << RARITY_BITS) - 1))
-        sums = grams.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).toArrow()
-        occurrences = np.zeros(1 << RARITY_BITS, np.int64)
-        occurrences[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
-        return cls(frozenset(frequent), occurrences)
-
     def decompose(self, word: str) -> list[tuple[int, str]]:
         """(place, gram) of the marked word: at each place the longest gram of the dictionary, without those
         that end no later than an earlier one."""
@@ -171,6 +156,22 @@ class Grams:
         return max(sum(first <= i <= last for first, last in spans) for i in changed)
 
 
+def gram_dictionary(words: DataFrame) -> Grams:
+    """Counts of all words' grams; what comes to the driver has a fixed greatest size."""
+    grams = materialize(
+        words.mapInArrow(_count_grams, "gram string, n long").groupBy("gram").agg(F.sum("n").alias("n")),
+        "grams",
+    )
+    short = grams.where(F.length("gram") < LONGEST)
+    places = grams.where(F.length("gram") == SHORTEST).agg(F.sum("n")).first()[0] or 0
+    frequent = short.where(F.col("n") * FREQUENT > places).select("gram").toArrow()["gram"].to_pylist()
+    bucket = F.xxhash64("gram").bitwiseAND(F.lit((1 << RARITY_BITS) - 1))
+    sums = grams.groupBy(bucket.alias("bucket")).agg(F.sum("n").alias("n")).toArrow()
+    occurrences = np.zeros(1 << RARITY_BITS, np.int64)
+    occurrences[sums["bucket"].to_numpy()] = sums["n"].to_numpy()
+    return Grams(frozenset(frequent), occurrences)
+
+
 def _decomposed(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams(*sent.value)
@@ -243,7 +244,7 @@ def near_words(words: DataFrame) -> DataFrame:
     """(word, near, near_n): for each word of ``words`` (word, n), the others that differ from it by exactly one
     inserted, deleted or replaced code point; every pair in both directions. Words must be distinct and have
     ``LEAST_LENGTH`` code points at least."""
-    grams = Grams.of(words)
+    grams = gram_dictionary(words)
     sent = words.sparkSession.sparkContext.broadcast((grams.extended, grams.occurrences))
     rows = materialize(bounded_batches(words).mapInArrow(_decomposed(sent), _DECOMPOSED), "decomposed")
 
@@ -255,15 +256,19 @@ def near_words(words: DataFrame) -> DataFrame:
     # Behind an edit that makes a word longer, its grams stand one place later.
     shorter = _listed(rows, "a", [at(0, 0), at(0, 1), at(1, 1)])
     longer = _listed(rows, "b", [at(0, 0)])
-    # Each bit that one word has and the other lacks is a gram that it misses.
+    # Each bit that one word has and the other lacks is a gram that it misses. The cheapest tests come first.
     bounded = (F.expr("bit_count(a_signature & ~b_signature)") <= F.col("a_bound")) & (
         F.expr("bit_count(b_signature & ~a_signature)") <= F.col("b_bound")
     )
+    # One edit leaves the first or the second half of the shorter word as it is.
+    half = F.expr("a_length div 2").cast("int")
+    alike = F.startswith("b_word", F.substring("a_word", F.lit(1), half)) | F.endswith(
+        "b_word", F.substring("a_word", half + 1, F.col("a_length"))
+    )
+    once = (F.col("a_length") < F.col("b_length")) | (F.col("a_word") < F.col("b_word"))
     pairs = (
         shorter.join(longer, "key")
-        .where((F.col("a_length") < F.col("b_length")) | (F.col("a_word") < F.col("b_word")))
-        .where(bounded)
-        .where(F.levenshtein("a_word", "b_word", 1) == 1)
+        .where(bounded & alike & once & (F.levenshtein("a_word", "b_word", 1) == 1))
         .select("a_word", "a_n", "b_word", "b_n")
         .distinct()
     )

