@@ -66,6 +66,13 @@ def exact_sum(value: Column, scale: int = 2) -> Column:
     return from_units(exact_total(value, scale), scale, rest_total(value, scale))
 
 
+def exact_plus(a: Column, b: Column, scale: int = 2) -> Column:
+    """What :func:`exact_sum` gives for two values; a null counts as 0."""
+    a, b = F.coalesce(a, F.lit(0.0)), F.coalesce(b, F.lit(0.0))
+    units = in_units(a, scale) + in_units(b, scale)
+    return from_units(units, scale, beyond_units(a, scale) + beyond_units(b, scale))
+
+
 def exact_avg(value: Column, scale: int = 2) -> Column:
     """AVG over the non-null values, summed as by :func:`exact_sum`; null for a group without any."""
     return F.try_divide(exact_sum(value, scale), F.count(value))

@@ -6,7 +6,7 @@ from importlib import import_module
 
 from heronry.plans.registry import ORACLES, QUERIES, Query
 
-MODULES = ("customers", "sales", "running", "streams", "storage")
+MODULES = ("customers", "sales", "running", "streams", "storage", "upkeep")
 
 
 def _load() -> None:

@@ -446,7 +446,7 @@ COUNTERS = [
 RECENCY = ["days_since_last_purchase", "last_update_time"]
 
 
-def _two_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+def two_periods(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Customer metrics of the orders before 1999 and of all others, undated ones too. Lines and orders
     are joined once; the metrics of both periods are stored together."""
     orders = dated_orders(spark, sf_dir)
@@ -469,7 +469,7 @@ MERGED_SQL = f"WITH {sql.METRICS} SELECT * FROM metrics"
 
 @query("keyed_merge_additive", MERGED_SQL)
 def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
-    older, newer = _two_periods(spark, sf_dir)
+    older, newer = two_periods(spark, sf_dir)
     return keyed.merge_additive(older, newer, "customer_id", COUNTERS, RECENCY, "last_update_time")
 
 
@@ -480,7 +480,7 @@ def merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     coalesce(s.total_transactions, 0) AS new_transactions FROM t FULL OUTER JOIN s ON t.customer_id = s.customer_id""",
 )
 def matched_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    older, newer = _two_periods(spark, sf_dir)
+    older, newer = two_periods(spark, sf_dir)
     known = older.select("customer_id", F.col("total_transactions").alias("known_transactions"))
     new = newer.select("customer_id", F.col("total_transactions").alias("new_transactions"))
     return joins.matched(known, new, "customer_id").fillna(0)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from heronry.functions.texts import strip_names
 from heronry.functions.times import to_moment
@@ -44,7 +44,8 @@ def read_csv_capped(
 ) -> DataFrame:
     """CSV under a declared schema, tolerating up to ``max_bad`` records that do not fit it.
 
-    The text is parsed once, into the shared folder; more bad records than allowed are an error.
+    The text is parsed once, into the shared folder, and bad records are counted on the way; more of them than
+    allowed are an error.
     """
     raw = (
         spark.read.option("header", header)
@@ -52,8 +53,9 @@ def read_csv_capped(
         .schema(f"{schema}, __bad string")
         .csv(path)
     )
-    parsed = materialize(raw, "csv-load")
-    bad = parsed.where(F.col("__bad").isNotNull()).count()
+    seen = Observation()
+    parsed = materialize(raw.observe(seen, F.count("__bad").alias("bad")), "csv-load")
+    bad = seen.get["bad"]
     if bad > max_bad:
         raise ValueError(f"{bad} bad records in {path}, at most {max_bad} allowed")
     return parsed.where(F.col("__bad").isNull()).drop("__bad")
