@@ -23,8 +23,10 @@ from heronry.plans.views import (
     transactions,
 )
 from heronry.session import fresh_path
+from heronry.sinks.files import append_rows
+from heronry.sources.positions import stream_numbered
 from heronry.sources.topics import decode_json, publish, read_topic, stream_topic
-from heronry.streaming import jobs, runs
+from heronry.streaming import crossing, jobs, runs
 from heronry.streaming.folded import FoldedTable, newest, numbered
 
 READING = "event_id bigint, sensor_id bigint, value double, ts timestamp_ntz"
@@ -151,6 +153,51 @@ def offsets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jobs.stored_rows(spark, topic.path("out")).select("event_id", "value", "batch_id")
 
 
+THIRD = "(SELECT MAX(event_id) // 3 FROM events)"
+
+
+@query(
+    "st_src_positions",
+    f"""SELECT 'earliest' AS start, event_id, value FROM events
+    UNION ALL SELECT 'latest', event_id, value FROM events WHERE event_id > {THIRD}
+    UNION ALL SELECT 'given', event_id, value FROM events WHERE event_id > {THIRD} // 2""",
+)
+def positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three streams over one growing table: all of it, what comes after the start, and what is behind a given
+    number. They run while the second delivery lands, are stopped, and go on after the third."""
+    root = fresh_path(spark, "st-positions")
+    events = table(spark, sf_dir, "events").select("event_id", "value")
+    third = events.agg(F.max("event_id")).first()[0] // 3
+    starts = {"earliest": "earliest", "latest": "latest", "given": third // 2}
+
+    def land(low: int, high: int | None) -> None:
+        rows = events.where(F.col("event_id") > low)
+        rows = rows if high is None else rows.where(F.col("event_id") <= high)
+        append_rows(rows, f"{root}/landed")
+
+    def start(name: str):
+        stream = stream_numbered(spark, f"{root}/landed", events.schema, "event_id", starts[name])
+        return runs.to_files(stream, f"{root}/{name}", f"{root}/{name}-progress", runs.every("0 seconds"))
+
+    land(-1, third)
+    running = [start(name) for name in starts]
+    for run in running:
+        run.processAllAvailable()
+    land(third, 2 * third)
+    for run in running:
+        run.processAllAvailable()
+        run.stop()
+    land(2 * third, None)
+    for run in [start(name) for name in starts]:
+        run.processAllAvailable()
+        run.stop()
+    shown = [
+        spark.read.schema(events.schema).parquet(f"{root}/{n}").select(F.lit(n).alias("start"), "event_id", "value")
+        for n in starts
+    ]
+    return shown[0].unionAll(shown[1]).unionAll(shown[2])
+
+
 @query("st_checkpoint", READINGS_SQL)
 def resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stopped and started again over the same topic: nothing is lost or repeated."""
@@ -267,6 +314,48 @@ def spending_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return settled
 
 
+DELIVERED = f"""slice AS (SELECT {{key}} AS key, batch_id, SUM(CAST(value AS DECIMAL(12,2))) AS own
+      FROM ({SLICED.format(batch="batch_id").replace("event_id, value", "event_type, user_id, value")}) GROUP BY 1, 2),
+    total AS (SELECT key, batch_id, SUM(own) OVER (PARTITION BY key ORDER BY batch_id) AS now, own FROM slice)"""
+
+
+def _emitted(spark: SparkSession, sf_dir: str, label: str, make) -> DataFrame:
+    """What leaves the batches of three deliveries, with a restart before each."""
+    topic = Topic(spark, label)
+    for rows in in_time_slices(purchases(spark, sf_dir)):
+        topic.add(rows)
+        stored = jobs.changes_to(topic.path("out"))
+        runs.finish(runs.to_batches(make(topic.stream(PURCHASE)), stored, topic.path("progress"), "update"))
+    return jobs.stored_rows(spark, topic.path("out"))
+
+
+@query(
+    "st_changed_totals",
+    f"""WITH {DELIVERED.format(key="event_type")}
+    SELECT key AS product_id, batch_id, CAST(now AS DOUBLE) AS revenue FROM total""",
+)
+def changed_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each batch hands on the totals that it changed."""
+    changed = _emitted(
+        spark, sf_dir, "st-changed", lambda s: crossing.changed_totals(s, "product_id", "amount")
+    )
+    return changed.select("product_id", "batch_id", F.col("total").alias("revenue"))
+
+
+@query(
+    "st_crossings",
+    f"""WITH {DELIVERED.format(key="user_id")}
+    SELECT key AS user_id, batch_id, CAST(now AS DOUBLE) AS spending, now > 700 AS above FROM total
+    WHERE (now > 700) <> (now - own > 700)""",
+)
+def spending_crossed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only users whose spending has crossed the bound leave a batch."""
+    crossed = _emitted(
+        spark, sf_dir, "st-crossings", lambda s: crossing.crossings(s, "user_id", "amount", 700.0)
+    )
+    return crossed.select("user_id", "batch_id", F.col("total").alias("spending"), "above")
+
+
 @query(
     "st_independent_readers",
     f"""SELECT 'product' AS reader, product_id AS key, revenue AS total FROM ({REVENUE_SQL})

@@ -17,6 +17,7 @@ from heronry.plans.views import raw_orders, table
 from heronry.session import fresh_path
 from heronry.sinks import bucketed, counted, partitions, versions
 from heronry.sinks.graph import TableGraph
+from heronry.sources import payloads as sources
 from heronry.streaming import runs
 
 # --- versions of a schema ---------------------------------------------------------------------
@@ -381,3 +382,65 @@ def table_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tables declared in any order with their inputs, built in the order that these give."""
     sources = {n: f"{sf_dir}/{n}.parquet" for n in ("orders", "customer", "lineitem")}
     return order_graph(spark, fresh_path(spark, "order-graph"), sources).read("revenue")
+
+
+# --- payloads nobody has declared -------------------------------------------------------------
+
+# The services that send events do not agree: ids as text, fields of their own, amounts that are null, cut records.
+SENT = """sent AS (SELECT event_id, event_type, value, CAST(json_extract(props, '$.k') AS INTEGER) AS k,
+    event_type = 'error' AND event_id % 2 = 0 AS cut FROM events)"""
+SENT_FIELDS = {"id": "BIGINT", "props": "OBJECT", "amount": "DECIMAL"}
+
+
+def landed_payloads(spark: SparkSession, sf_dir: str) -> str:
+    path = fresh_path(spark, "payloads")
+    kind = F.col("event_type")
+    head = F.concat(F.lit('{"id": '), F.col("event_id").cast("string"))
+    props = F.concat(F.lit(', "props": '), F.col("props"))
+    text = (
+        F.when(kind == "signup", F.concat(head, props, F.lit(', "plan": "free"}')))
+        .when(kind == "purchase", F.concat(head, props, F.lit(', "amount": '), F.col("value").cast("string"), F.lit("}")))
+        .when(kind == "click", F.concat(F.lit('{"id": "'), F.col("event_id").cast("string"), F.lit('"'), props, F.lit("}")))
+        .when(kind == "view", F.concat(head, props, F.lit(', "amount": null}')))
+        .when(F.col("event_id") % 2 == 0, F.concat(head, F.lit(', "code":')))
+        .otherwise(F.concat(head, F.lit(', "code": 500}')))
+    )
+    table(spark, sf_dir, "events").select(text.alias("value")).write.text(path)
+    return path
+
+
+@query(
+    "src_json_variant",
+    f"""WITH {SENT} SELECT CASE WHEN NOT cut THEN event_id END AS id, CASE WHEN event_type <> 'error' THEN k END AS k,
+    CASE WHEN event_type = 'purchase' THEN value END AS amount,
+    CASE WHEN event_type = 'signup' THEN 'free' END AS plan,
+    CASE WHEN cut THEN '{{"id": ' || event_id || ', "code":' END AS bad FROM sent""",
+)
+def payload_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fields taken from payloads of several shapes; cut records are kept as text."""
+    rows = sources.read_payloads(spark, landed_payloads(spark, sf_dir))
+    return rows.select(
+        sources.field_of("payload", "$.id", "bigint").alias("id"),
+        sources.field_of("payload", "$.props.k", "int").alias("k"),
+        sources.field_of("payload", "$.amount", "double").alias("amount"),
+        sources.field_of("payload", "$.plan", "string").alias("plan"),
+        "bad",
+    )
+
+
+@query(
+    "sch_variant_drift",
+    f"""WITH {SENT}, found AS (
+      SELECT 'id' AS field, CASE event_type WHEN 'click' THEN 'STRING' ELSE 'BIGINT' END AS type,
+        CASE event_type WHEN 'click' THEN 'other type' ELSE 'declared' END AS status FROM sent WHERE NOT cut
+      UNION ALL SELECT 'props', 'OBJECT', 'declared' FROM sent WHERE event_type <> 'error'
+      UNION ALL SELECT 'plan', 'STRING', 'unknown' FROM sent WHERE event_type = 'signup'
+      UNION ALL SELECT 'amount', 'DECIMAL', 'declared' FROM sent WHERE event_type = 'purchase'
+      UNION ALL SELECT 'amount', 'VOID', 'null' FROM sent WHERE event_type = 'view'
+      UNION ALL SELECT 'code', 'BIGINT', 'unknown' FROM sent WHERE event_type = 'error' AND NOT cut)
+    SELECT field, type, status, COUNT(*) AS row_count FROM found GROUP BY ALL""",
+)
+def payload_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fields the payloads have, of which types, beside what is declared."""
+    rows = sources.read_payloads(spark, landed_payloads(spark, sf_dir))
+    return sources.field_types(rows, "payload", SENT_FIELDS)
