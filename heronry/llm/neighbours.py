@@ -25,6 +25,8 @@ BUCKETS = 1 << 13
 DIMENSIONS = 48
 ITERATIONS = 4
 NEIGHBOURS = 15
+# Similarities that differ by less count as equal; single precision tells no more.
+TIED = 1e-6
 # Similarities are raised to this power before they are added up.
 SHARPNESS = 4
 SEED = 7
@@ -105,7 +107,8 @@ class Voters:
         return cls(Space(weights, directions), vectors, labels)
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        """Share of label 1 among the nearest labelled vectors, each counted by its similarity."""
+        """Share of label 1 among the nearest labelled vectors, each counted by its similarity. Vectors tied with
+        the last of them vote as well; a text without terms is as near to all, and gets the sample's share."""
         if not len(self.labels):
             return np.zeros(len(texts))
         vectors = self.space.rows(texts)
@@ -113,10 +116,12 @@ class Voters:
         k = min(NEIGHBOURS, len(self.labels))
         for at in range(0, len(texts), 256):
             cosines = vectors[at : at + 256] @ self.vectors.T
-            best = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-            near = np.maximum(np.take_along_axis(cosines, best, axis=1), 0).astype(float) ** SHARPNESS
-            near += 1e-9
-            made[at : at + 256] = (near * self.labels[best]).sum(axis=1) / near.sum(axis=1)
+            least = -np.partition(-cosines, k - 1, axis=1)[:, k - 1 : k]
+            # Every voter as near as the last one votes, so the order of the voters decides nothing.
+            row, best = np.nonzero(cosines >= least - TIED)
+            near = np.maximum(cosines[row, best], 0).astype(float) ** SHARPNESS + 1e-9
+            ones = np.bincount(row, near * self.labels[best], len(cosines))
+            made[at : at + 256] = ones / np.bincount(row, near, len(cosines))
         return np.clip(made, 0, 1)
 
 

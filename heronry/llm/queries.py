@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from heronry.llm import (
@@ -43,6 +42,9 @@ def pseudonym_key(spark: SparkSession) -> bytes:
 
 
 def tokenizer(spark: SparkSession) -> bpe.Tokenizer:
+    # The other queries do not need the vocabulary files.
+    import public_tokenizers
+
     return bpe.Tokenizer(
         spark, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
     )

@@ -188,7 +188,8 @@ def read_archives(archives: DataFrame) -> DataFrame:
 
     Stored payloads are digested anew from their chunks: records of one chunk in place, longer ones by
     streaming their chunks in order. Revisits carry length and digest of the payload they stand for.
-    A stored payload whose digest is not the one in its header is an error.
+    A stored payload whose digest is not the one in its header is an error, and so is a revisit that names a page
+    without a stored payload of that digest and length.
     """
     first = archives.where(F.col("chunk_no") == 0).select(
         "page_id", "record_id", "n_chunks", _fields(F.decode("content", "UTF-8")).alias("f")
@@ -236,7 +237,7 @@ def read_archives(archives: DataFrame) -> DataFrame:
         (F.col("named_digest") == digest) & (F.col("named_bytes") == size), F.lit(False)
     )
     damaged = F.raise_error(F.concat(F.lit("damaged record "), F.col("record_id").cast("string")))
-    return (
+    rows = (
         heads.join(short.unionAll(long), F.col("record_id") == F.col("of"), "left")
         .where(F.when(same, True).otherwise(damaged.cast("boolean")))
         .select(
@@ -247,6 +248,33 @@ def read_archives(archives: DataFrame) -> DataFrame:
             "refers_to",
         )
     )
+    return _revisits_checked(materialize(rows, "records"))
+
+
+def _revisits_checked(rows: DataFrame) -> DataFrame:
+    """``rows`` again; a revisit of a payload that is not among the stored ones is an error."""
+    revisit = F.col("record_type") == "revisit"
+    stored = (
+        rows.where(~revisit)
+        .select(
+            F.col("page_id").alias("stored_id"),
+            F.col("payload_digest").alias("stored_digest"),
+            F.col("payload_bytes").alias("stored_bytes"),
+        )
+        .distinct()
+    )
+    found = rows.where(revisit).join(
+        stored,
+        F.col("refers_to").eqNullSafe(F.col("stored_id"))
+        & (F.col("payload_digest") == F.col("stored_digest"))
+        & (F.col("payload_bytes") == F.col("stored_bytes")),
+        "left",
+    )
+    missing = F.raise_error(
+        F.concat(F.lit("no stored payload for the revisit of page "), F.coalesce(F.col("refers_to").cast("string"), F.lit("?")))
+    )
+    known = F.when(F.col("stored_digest").isNotNull(), True).otherwise(missing.cast("boolean"))
+    return rows.where(~revisit).unionAll(found.where(known).select(*rows.columns))
 
 
 def archived(pages: DataFrame) -> DataFrame:

@@ -336,6 +336,17 @@ def test_damage_is_found(spark):
         warc.read_archives(damaged).collect()
 
 
+def test_a_revisit_needs_its_payload(spark):
+    from heronry.session import fresh_path
+
+    path = fresh_path(spark, "warc-test")
+    warc.write_archives(pages(spark, PAGES), path)
+    table = spark.read.parquet(path)
+    for stored in (table.where("page_id IS NULL OR page_id <> 3"), table.where("page_id IN (4, 5)")):
+        with pytest.raises(Exception, match="no stored payload for the revisit of page 3"):
+            warc.read_archives(stored).collect()
+
+
 def test_empty_archive(spark):
     assert warc.archived(pages(spark, PAGES).limit(0)).count() == 0
 

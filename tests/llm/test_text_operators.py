@@ -370,3 +370,19 @@ def test_votes_are_exact_nearest_neighbours():
         best = np.argsort(-cosines, kind="stable")[: neighbours.NEIGHBOURS]
         w = np.maximum(cosines[best], 0).astype(float) ** neighbours.SHARPNESS + 1e-9
         assert got[i] == pytest.approx((w * labels[best]).sum() / w.sum(), abs=1e-5)
+
+
+def test_tied_voters_all_vote():
+    """The order of the voters decides nothing; an empty text gets the sample's share of label 1."""
+    rng = np.random.default_rng(5)
+    q = np.linalg.qr(rng.normal(size=(neighbours.BUCKETS, 8)))[0]
+    space = neighbours.Space(np.ones(neighbours.BUCKETS), q.astype(np.float32))
+    texts = [b"one two three", b"four five six seven", b"eight nine"]
+    vectors = np.repeat(space.rows(texts), 20, axis=0)
+    labels = np.array(([1.0] * 5 + [0.0] * 15) * 2 + [1.0] * 10 + [0.0] * 10)
+    want = neighbours.Voters(space, vectors, labels).scores([*texts, b""])
+    for _ in range(5):
+        mixed = rng.permutation(len(labels))
+        got = neighbours.Voters(space, vectors[mixed], labels[mixed]).scores([*texts, b""])
+        assert np.allclose(got, want, rtol=0, atol=1e-9)
+    assert np.allclose(want, [0.25, 0.25, 0.5, 20 / 60], rtol=0, atol=1e-6)
