@@ -76,7 +76,8 @@ def changed_totals(stream: DataFrame, key: str, value: str, scale: int = 2, ttl_
     """(key, total) of the keys that a batch has rows of, with their sum since the stream began. Null values count
     as no rows; rows without a key are a key of their own. Sums are of whole units of ``10 ** -scale`` and what lies
     beyond them, so for fixed-point values the order of rows does not matter. A key without rows for ``ttl_ms`` (0:
-    any time) is forgotten and starts from zero when it comes back."""
+    any time) is forgotten by the next batch without it and starts from zero when it comes back. Spark then runs
+    batches without data, so with ``ttl_ms`` use an interval as the trigger, or turn those batches off."""
     return _totals(stream, key, value, scale, None, ttl_ms)
 
 
