@@ -10,6 +10,7 @@ from heronry.functions.mappings import churn_band
 from heronry.functions.times import days_since
 from heronry.operators.filters import at_risk, between_moments, fetch_one, for_key
 from heronry.operators.joins import above_average
+from heronry.operators.means import order_free_totals
 from heronry.operators.ranking import top
 
 
@@ -38,9 +39,11 @@ def top_customers(metrics: DataFrame, n: int, tier: str | None = None) -> DataFr
 
 def average_spend(metrics: DataFrame, first: datetime, last: datetime) -> DataFrame:
     """Mean of the customers' average transaction values, for customers last seen in a time range;
-    0.0 when there are none."""
+    0.0 when there are none. The ratios are added exactly, so no order or split of the customers changes
+    the result."""
     seen = between_moments(metrics, "last_update_time", first, last)
-    return seen.agg(F.coalesce(F.avg(_average_value()), F.lit(0.0)).alias("avg_spend"))
+    mean = order_free_totals(seen.select(_average_value().alias("value")), [], "value")
+    return mean.select(F.coalesce("mean", F.lit(0.0)).alias("avg_spend"))
 
 
 def churn_risk(metrics: DataFrame, level: str = "High", limit: int = 10) -> DataFrame:

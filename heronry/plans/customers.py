@@ -115,28 +115,26 @@ def discounts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    "agg_ratio_of_totals_avg",
-    f"""WITH {sql.METRICS} SELECT round(coalesce(avg(total_purchased / total_transactions), 0.0), 6)
-    AS avg_spend FROM metrics""",
-)
+# The exact mean of ratios: each is a whole number of 2**-60, as none is below 2**-7, and the text of the
+# whole sum is read as the nearest double.
+_MEAN_OF_RATIOS = """SELECT coalesce(CAST(CAST(sum(CAST(total_purchased / total_transactions
+        * CAST(1152921504606846976 AS DOUBLE) AS HUGEINT)) AS VARCHAR) AS DOUBLE)
+    / CAST(1152921504606846976 AS DOUBLE) / count(total_purchased / total_transactions),
+    CAST(0 AS DOUBLE)) AS avg_spend FROM metrics"""
+
+
+@query("agg_ratio_of_totals_avg", f"WITH {sql.METRICS} {_MEAN_OF_RATIOS}")
 def spend_of_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     always = (datetime(1900, 1, 1), datetime(2100, 1, 1))
-    return _rounded(reports.average_spend(metrics_table(spark, sf_dir), *always))
+    return reports.average_spend(metrics_table(spark, sf_dir), *always)
 
 
 @query(
     "rpt_avg_spend",
-    f"""WITH {sql.METRICS} SELECT round(coalesce(avg(total_purchased / total_transactions), 0.0), 6)
-    AS avg_spend FROM metrics WHERE last_update_time BETWEEN {PERIOD_SQL}""",
+    f"WITH {sql.METRICS} {_MEAN_OF_RATIOS} WHERE last_update_time BETWEEN {PERIOD_SQL}",
 )
 def spend_in_period(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rounded(reports.average_spend(metrics_table(spark, sf_dir), *PERIOD))
-
-
-def _rounded(df: DataFrame) -> DataFrame:
-    # A mean of ratios depends on the order of summation in its last digits.
-    return df.select(F.round("avg_spend", 6).alias("avg_spend"))
+    return reports.average_spend(metrics_table(spark, sf_dir), *PERIOD)
 
 
 @query(
