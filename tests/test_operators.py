@@ -3,6 +3,7 @@
 import itertools
 import math
 from datetime import date, datetime
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F, types as T
@@ -277,6 +278,15 @@ def test_discounts_are_not_cut(spark):
     assert value_of(spark, discount_amount(F.lit(1.005), F.lit(1 / 3), F.lit(300))) == 100.5
 
 
+def test_discounts_of_any_size_round_half_a_cent_upwards(spark):
+    rows = [(p, r, q) for p in (0.0, 0.01, 28.5, -28.5, 99999.99, 123456789.01, 9e12) for r in (0.0, 0.01, 0.1, 0.285, 0.000005) for q in (1, 3, -2, 50)]
+    df = spark.createDataFrame(rows, "p double, r double, q int")
+    got = df.select("p", "r", "q", discount_amount(F.col("p"), F.col("r"), F.col("q")).alias("d")).collect()
+    for p, r, q, d in got:
+        cents = Fraction(str(p)) * Fraction(str(r)) * q * 100
+        assert d == math.floor(cents + Fraction(1, 2)) / 100
+
+
 def test_changes(spark):
     table = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c")], "id int, name string")
     changes = spark.createDataFrame(
