@@ -12,11 +12,13 @@ from heronry.functions.numbers import (
     exact_sum,
     exact_total,
     from_units,
+    joined_units,
     net_of_amount,
     net_of_rate,
     percentage,
     rest_total,
     to_number,
+    unit_parts,
 )
 from heronry.functions.times import days_since, month_key
 
@@ -37,15 +39,22 @@ def totals(
 
 
 def subtotals(df: DataFrame, keys: list[str], value: str, scale: int = 2) -> DataFrame:
-    """Sums by ``keys`` in a form that adds up exactly; :func:`finish_subtotals` ends it."""
+    """Sums by ``keys`` in a form that adds up exactly; :func:`finish_subtotals` ends it.
+
+    The parts of the units stay bigints, which are narrower in the shuffle than decimals and are added
+    again without any.
+    """
+    high, low = unit_parts(F.col(value), scale)
     return df.groupBy(*keys).agg(
-        exact_total(F.col(value), scale).alias("units"), rest_total(F.col(value), scale).alias("rest")
+        F.sum(high).alias("high"),
+        F.sum(low).alias("low"),
+        rest_total(F.col(value), scale).alias("rest"),
     )
 
 
 def finish_subtotals(df: DataFrame, keys: list[str], name: str, scale: int = 2) -> DataFrame:
     """Add up :func:`subtotals` by other keys, for example after a join with the attributes of the first."""
-    total = from_units(F.sum("units"), scale, F.sum("rest"))
+    total = from_units(joined_units(F.sum("high"), F.sum("low")), scale, F.sum("rest"))
     return df.groupBy(*keys).agg(total.alias(name))
 
 

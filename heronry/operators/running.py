@@ -27,7 +27,8 @@ def running_totals(
     ``order`` must be a total order within a key. All rows are range-partitioned by key and order, so
     a key with very many rows lies in several partitions. Each partition is summed on its own; the keys
     that go on from one partition into the next are at most as many as there are partitions, and their
-    totals of earlier partitions are added. ``df`` is evaluated once.
+    totals of earlier partitions are added. ``df`` is evaluated twice, once for the sample that gives the
+    cut points and once for the rows; store an input that is dear or not repeatable.
 
     ``earlier`` holds totals to start from, as :func:`key_totals` gives them. They go through the
     same window as first rows of their keys, which saves a join.
