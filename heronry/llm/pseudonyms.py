@@ -28,7 +28,7 @@ _START, _END = "(?<![0-9A-Za-z])", "(?![0-9A-Za-z])"
 FORMS = {
     kind: re.compile(f"{_START}(?:{form}){_END}")
     for kind, form in {
-        "secret": "[0-9a-f]{32,128}|[0-9A-F]{32,128}",
+        "secret": "[0-9a-f]{32,}|[0-9A-F]{32,}",
         "iban": "[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?",
         "card": r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\1[0-9]{4}\1[0-9]{1,7}"
         r"|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5}",
@@ -36,7 +36,7 @@ FORMS = {
         "ip": r"(?<!\.)[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.[0-9])",
         "ssn": "[0-9]{3}-[0-9]{2}-[0-9]{4}(?!-[0-9])",
         "phone": r"\+[0-9]{1,3}[ .-]?\([0-9]{1,4}\)[ .-]?[0-9]{2,4}[ .-]?[0-9]{3,5}"
-        r"|\+[0-9]{1,3}(?:[ .-]?[0-9]{2,12}(?!\.?[0-9])){1,4}"
+        r"|\+[0-9]{1,3}(?:[ .-]?\(0\))?(?:[ .-]?[0-9]{2,12}(?!\.?[0-9])){1,4}"
         r"|\([0-9]{3}\) ?[0-9]{3}-[0-9]{4}|[0-9]{3}([-.])[0-9]{3}\1[0-9]{4}",
     }.items()
 }
@@ -44,6 +44,15 @@ EMAIL = re.compile(
     r"(?<![\w.%+-])(?P<local>[\w.%+-]+)@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})"
 )
 DIGIT = re.compile("[0-9]")
+# Characters of an address that are moved as one number; longer ones, which no mail server takes, in parts.
+LOCAL_PART = 256
+OPTIONAL_ZERO = re.compile(r"[ .-]?\(0\)")
+# Country codes of two digits in the public numbering plan. 1 and 7 are codes by themselves, and
+# all others have three digits.
+TWO_DIGIT_COUNTRIES = set(
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66"
+    " 81 82 84 86 90 91 92 93 94 95 98".split()
+)
 # Characters of an IBAN in countries whose texts are expected.
 IBAN_LENGTHS = {
     "AT": 20, "BE": 16, "CH": 21, "DE": 22, "DK": 18, "ES": 24, "FI": 18, "FR": 27, "GB": 22, "GR": 27,
@@ -59,6 +68,8 @@ class Feistel:
 
     def _mix(self, label: bytes, turn: int, half: int, bits: int) -> int:
         data = b"%b|%d|%x" % (label, turn, half)
+        if len(data) > 1024:  # read once, however many digests are made of it
+            data = hashlib.blake2b(data, key=self.key).digest()
         size = min(64, bits // 8 + 1)
         made = b""
         while len(made) * 8 < bits:
@@ -69,7 +80,7 @@ class Feistel:
         if size <= 1:
             return value
         half = max(1, ((size - 1).bit_length() + 1) // 2)
-        label = f"{kind}|{size}".encode()
+        label = f"{kind}|{size:x}".encode()
         while True:
             left, right = value >> half, value & ((1 << half) - 1)
             for turn in range(ROUNDS):
@@ -141,11 +152,24 @@ def _ssn(text: str, move) -> str | None:
     return f"{place + 1 + (place >= 665):03d}-{at // 9999 + 1:02d}-{at % 9999 + 1:04d}"
 
 
+def _country_code(digits: str) -> int:
+    """How many digits of an international number are its country's."""
+    return 1 if digits[0] in "17" else 2 if digits[:2] in TWO_DIGIT_COUNTRIES else 3
+
+
 def _phone(text: str, move) -> str | None:
-    code = re.match(r"\+[0-9]{1,3}", text)
-    head = code.group() if code else ""
+    """The country's code stays, and an optional "(0)" after it; all other digits are moved as one
+    number, so spellings with other separators stay linked."""
+    head, digits = "", _digits(text)
+    if not 7 <= len(digits) <= 15:
+        return None
+    if text[0] == "+":
+        places = [m.end() for m in DIGIT.finditer(text)]
+        head = text[: places[_country_code(digits) - 1]]
+        if optional := OPTIONAL_ZERO.match(text, len(head)):
+            head = text[: optional.end()]
     digits = _digits(text[len(head) :])
-    if not 7 <= len(digits) + len(head) - bool(head) <= 15 or len(digits) < 5:
+    if len(digits) < 5:
         return None
     return head + _filled(text[len(head) :], f"{move(int(digits), 10 ** len(digits)):0{len(digits)}d}")
 
@@ -166,6 +190,30 @@ def _ip(text: str, move) -> str | None:
     return ".".join(reversed(made))
 
 
+def _moved_date(date: datetime.date, move) -> datetime.date:
+    """The pseudonym of a day, whatever form it is written in, so all its spellings stay linked.
+
+    It is a day of the same two centuries (1900 to 2099, 2100 to 2299, ...). Every spelling must be able
+    to hold it: months and days of one digit and of two are moved among themselves, so no text changes its
+    length, and days that can be no month too, so no text changes its order.
+    """
+    first = (date.year - 100) // 200 * 200 + 100
+    years = range(max(1, first), min(9999, first + 199) + 1)
+    months = range(1, 10) if date.month < 10 else range(10, 13)
+    days = range(1, 10) if date.day < 10 else range(10, 13) if date.day < 13 else range(13, 32)
+    size, form = len(years) * len(months) * len(days), f"{months.start}|{days.start}"
+    at = (years.index(date.year) * len(months) + months.index(date.month)) * len(days)
+    at += days.index(date.day)
+    while True:  # walks on the cycle past the 31st of shorter months
+        at = move(at, size, form)
+        year_month, day = divmod(at, len(days))
+        year, month = divmod(year_month, len(months))
+        try:
+            return datetime.date(years[year], months[month], days[day])
+        except ValueError:
+            continue
+
+
 def _date(text: str, move) -> str | None:
     sep = re.search(r"[-/.]", text).group()
     parts = text.split(sep)
@@ -174,42 +222,17 @@ def _date(text: str, move) -> str | None:
     year, month, day = (
         parts if year_first else (parts[2], parts[1], parts[0]) if day_first else (parts[2], *parts[:2])
     )
-    swapped = False
     try:
         date = datetime.date(int(year), int(month), int(day))
     except ValueError:
         if year_first:
             return None
-        day_first, swapped, day, month = not day_first, True, month, day
+        day_first, day, month = not day_first, month, day
         try:
             date = datetime.date(int(year), int(month), int(day))
         except ValueError:
             return None
-    # Within two centuries (1900 to 2099, 2100 to 2299, ...); days and months of one digit and of two
-    # are moved among themselves, so the text keeps its length.
-    first = (date.year - 100) // 200 * 200 + 100
-    begin = datetime.date(max(1, first), 1, 1).toordinal()
-    end = datetime.date(min(9999, first + 199), 12, 31).toordinal() + 1
-    long_day, long_month = len(day) == 2, len(month) == 2
-    padded = (day[0] == "0" and long_day) or (month[0] == "0" and long_month) or (swapped and long_month)
-
-    def fits(d: datetime.date) -> bool:
-        # The other order is only read where the day is no month, so such dates stay among themselves.
-        if swapped and d.day <= 12:
-            return False
-        if padded or (long_day and long_month and sep == "-" and year_first):
-            return True
-        return (d.day > 9) == long_day and (d.month > 9) == long_month
-
-    at = date.toordinal()
-    kind = "fixed" if padded or (year_first and sep == "-" and long_day and long_month) else (
-        f"{long_day}{long_month}"
-    )
-    while True:  # walks on the cycle until the form fits
-        at = begin + move(at - begin, end - begin, kind)
-        new = datetime.date.fromordinal(at)
-        if fits(new):
-            break
+    new = _moved_date(date, move)
     shown = {
         "y": f"{new.year:04d}",
         "m": f"{new.month:0{len(month)}d}",
@@ -277,7 +300,11 @@ class Pseudonymiser:
 
         if "@" in text:
             for m in EMAIL.finditer(text):
-                local = _email_local(m["local"], self._move(f"email|{m['host'].lower()}"))
+                host, whole = m["host"].lower(), m["local"]
+                local = "".join(
+                    _email_local(whole[i : i + LOCAL_PART], self._move(f"email|{host}|{i}" if i else f"email|{host}"))
+                    for i in range(0, len(whole), LOCAL_PART)
+                )
                 note(*m.span(), "email", f"{local}@{m['host']}")
         if DIGIT.search(text):
             for kind, form in FORMS.items():

@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+from datetime import date, timedelta
 import zlib
 
 import numpy as np
@@ -170,6 +171,72 @@ def test_other_orders_stay_one_to_one():
     assert len(made) > 200 and len(set(made)) == len(made)
 
 
+def read_dates(text):
+    """Independent reading of the forms: the day each stands for, by the order its separator implies."""
+    a, b, c = re.split("[-/.]", text)
+    if len(a) == 4:
+        return {date(int(a), int(b), int(c))}
+    orders = [(b, a), (a, b)] if "/" not in text else [(a, b), (b, a)]
+    for month, day in orders:
+        if 1 <= int(month) <= 12 and int(day) <= 31:
+            return {date(int(c), int(month), int(day))}
+
+
+@pytest.mark.parametrize("day", [date(2020, 12, 25), date(1999, 1, 31), date(2001, 2, 3), date(1950, 10, 11), date(2024, 2, 29), date(9999, 12, 31)])
+def test_all_spellings_of_a_date_stay_linked(day):
+    y, m, d = day.year, day.month, day.day
+    spellings = {f"{y}-{m:02d}-{d:02d}", f"{y}/{m}/{d}", f"{d:02d}.{m:02d}.{y}", f"{d}.{m}.{y}", f"{d}-{m}-{y}", f"{m:02d}/{d:02d}/{y}", f"{m}/{d}/{y}"}
+    if d > 12:
+        spellings |= {f"{d:02d}/{m:02d}/{y}", f"{m:02d}-{d:02d}-{y}", f"{m}.{d}.{y}"}
+    for key in (b"key", b"other"):
+        maker = pseudonyms.Pseudonymiser(key)
+        new = {s: maker.replace(s)[0] for s in spellings}
+        assert len(set.union(*(read_dates(t) for t in new.values()))) == 1
+        assert all(re.sub("[0-9]", "9", t) == re.sub("[0-9]", "9", s) for s, t in new.items())
+
+
+def test_dates_are_moved_one_to_one():
+    maker = pseudonyms.Pseudonymiser(b"key")
+    days = [date(2000, 1, 1) + timedelta(days=k) for k in range(2000)]
+    made = {maker.replace(d.isoformat())[0] for d in days}
+    assert len(made) == len(days) and all(1900 <= date.fromisoformat(m).year < 2100 for m in made)
+
+
+@pytest.mark.parametrize(
+    "spellings",
+    [
+        ["+49 30 1234567", "+49301234567", "+49-30-1234567", "+49 (0)30 1234567"],
+        ["+1 (555) 123-4567", "+1 555-123-4567", "+15551234567", "555-123-4567", "(555) 123-4567"],
+        ["+352 621 123 456", "+352621123456"],
+        ["+7 495 123-4567", "+74951234567"],
+    ],
+)
+def test_all_spellings_of_a_telephone_number_stay_linked(spellings):
+    maker = pseudonyms.Pseudonymiser(b"key")
+    made = [maker.replace(f"call {s} now") for s in spellings]
+    assert all(counts == {"phone": 1} for _, counts in made)
+    national = len(re.sub("[^0-9]", "", spellings[-1])) if spellings[-1][0] != "+" else 9
+    assert len({re.sub("[^0-9]", "", t)[-min(national, 9):] for t, _ in made}) == 1
+    for s, (t, _) in zip(spellings, made):
+        assert re.sub("[0-9]", "9", t[5:-4]) == re.sub("[0-9]", "9", s) and t[5:-4] != s
+        assert s[0] != "+" or re.match(r"\+(49|1|352|7)", s).group() == re.match(r"\+(49|1|352|7)", t[5:-4]).group()
+
+
+def test_long_secrets_are_replaced():
+    maker = pseudonyms.Pseudonymiser(b"key")
+    for n in (129, 1000, 100_001):
+        value = ("0123456789abcdef" * (n // 16 + 1))[:n]
+        new, counts = maker.replace(f"key {value}.")
+        assert counts == {"secret": 1} and len(new) == n + 5 and value[:32] not in new
+
+
+def test_very_long_addresses_are_replaced():
+    maker = pseudonyms.Pseudonymiser(b"key")
+    made = {n: maker.replace("ab" * n + "@mail.example.com") for n in (1, 200, 50_000)}
+    for n, (new, counts) in made.items():
+        assert counts == {"email": 1} and len(new) == 2 * n + 17 and new != "ab" * n + "@mail.example.com"
+
+
 def test_an_address_of_single_digits_is_found_alone():
     maker = pseudonyms.Pseudonymiser(b"key")
     new, counts = maker.replace("at 8.8.8.8 now")
