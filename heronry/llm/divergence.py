@@ -7,6 +7,8 @@ expressions are used; texts are read once and never shuffled.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heronry.session import materialize
@@ -27,9 +29,13 @@ MOST_REPEATED = 50
 # Shorter texts are not judged by their histograms, and a language with fewer words has no reference.
 GUARD_WORDS = 80
 REFERENCE_WORDS = 2_000
-# Largest Jensen-Shannon distances.
+# Largest Jensen-Shannon distance of the character classes.
 MOST_CLASS_DISTANCE = 0.25
-MOST_WORD_DISTANCE = 0.4
+# That of the words follows from the references: this share of what a text without any common word has, as
+# most words of every text are in the bin of all others. It is no smaller than the least bound, so that
+# references that hold few common words reject nothing.
+WORD_DISTANCE_SHARE = 0.8
+LEAST_WORD_BOUND = 0.25
 
 BLANK = "[ \\t-\\r]+"
 
@@ -169,11 +175,26 @@ def distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
+def word_bound(known: list[dict[str, list[float]]]) -> float:
+    """The largest distance of the words that a text may have to the nearest of ``known``."""
+
+    def without_common_words(q: list[float]) -> float:
+        *common, others = q
+        part = math.log2(2 / (1 + others))
+        if others > 0:
+            part += others * math.log2(2 * others / (1 + others))
+        return math.sqrt(max((part + sum(common)) / 2, 0.0))
+
+    nearest = min((without_common_words(of["words"]) for of in known), default=0.0)
+    return max(WORD_DISTANCE_SHARE * nearest, LEAST_WORD_BOUND)
+
+
 def judged(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: str = "lang") -> DataFrame:
     """Counts, distances and verdict of every row.
 
     ``base_failed``: too few words, or too many in repeated windows of three. ``kept``: it did not fail,
-    and neither distance to the nearest reference is above its bound. Texts with fewer than
+    and neither distance to the nearest reference is above its bound (for words, :func:`word_bound`). A text
+    without any common word is above it, whatever its characters. Texts with fewer than
     ``GUARD_WORDS`` words, and all texts where no language has a reference, are kept unless the base
     rule fails. Null texts have no words; rows whose language is null or unknown are compared with all
     references but add to none. Repeated rows are each returned; an empty table gives no rows.
@@ -193,7 +214,7 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: st
     rows = counts.withColumn("class_distance", nearest("classes")).withColumn(
         "word_distance", nearest("words")
     )
-    near = (F.col("class_distance") <= MOST_CLASS_DISTANCE) & (F.col("word_distance") <= MOST_WORD_DISTANCE)
+    near = (F.col("class_distance") <= MOST_CLASS_DISTANCE) & (F.col("word_distance") <= word_bound(known))
     kept = ~F.col("base_failed") & ((F.col("n_words") < GUARD_WORDS) | near)
     return rows.withColumn("base_failed", base_failed()).select(
         "doc_id",

@@ -301,13 +301,18 @@ WITH doc AS (
       CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
       + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS d
     FROM pair GROUP BY r, lang, kind) GROUP BY r, kind
+), bound AS (
+  SELECT greatest({word_share} * min(d), {least_word_bound}) AS most FROM (
+    SELECT sqrt(greatest(sum(CASE WHEN bin <> '*' THEN q ELSE log2(2 / (1 + q))
+      + CASE WHEN q > 0 THEN q * log2(2 * q / (1 + q)) ELSE 0 END END) / 2, 0)) AS d
+    FROM reference WHERE kind = 'word' GROUP BY lang)
 )
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
   CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
   CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
   NOT base_failed AND (n_words < {guard_words} OR (coalesce(c.d, 0) <= {class_distance}
-    AND coalesce(w.d, 0) <= {word_distance})) AS kept
-FROM judged LEFT JOIN (FROM far WHERE kind = 'class') c USING (r)
+    AND coalesce(w.d, 0) <= coalesce(most, {least_word_bound}))) AS kept
+FROM judged CROSS JOIN bound LEFT JOIN (FROM far WHERE kind = 'class') c USING (r)
 LEFT JOIN (FROM far WHERE kind = 'word') w USING (r)
 """.format(
     least_words=divergence.LEAST_WORDS,
@@ -315,7 +320,8 @@ LEFT JOIN (FROM far WHERE kind = 'word') w USING (r)
     guard_words=divergence.GUARD_WORDS,
     reference_words=divergence.REFERENCE_WORDS,
     class_distance=divergence.MOST_CLASS_DISTANCE,
-    word_distance=divergence.MOST_WORD_DISTANCE,
+    word_share=divergence.WORD_DISTANCE_SHARE,
+    least_word_bound=divergence.LEAST_WORD_BOUND,
     languages=", ".join(f"'{x}'" for x in divergence.LANGUAGES),
     words=", ".join(f"'{x}'" for x in divergence.WORDS),
 )

@@ -354,6 +354,38 @@ def test_distance_is_jensen_shannon(spark):
     assert got == pytest.approx(expected)
 
 
+def test_each_distance_rejects_by_itself(spark):
+    rng = random.Random(5)
+    common, rare = divergence.COMMON_WORDS["en"], ["lorat", "mindel", "tasor", "quenit", "oblar", "firend"]
+
+    def text(share, n=200, upper=False):
+        words = [rng.choice(common) if rng.random() < share else rng.choice(rare) + rng.choice(rare) for _ in range(n)]
+        return " ".join(w.upper() if upper else w for w in words)
+
+    rows = [(i, text(0.35)) for i in range(40)]
+    rows += [(100, text(0.0)), (101, text(0.35, upper=True)), (102, text(0.0, n=79)), (103, text(0.3))]
+    df = spark.createDataFrame([(i, t, "en") for i, t in rows], "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in divergence.judged(df).collect()}
+    assert not any(r.base_failed for r in got.values())
+    assert all(got[i].kept for i in (*range(40), 102, 103))
+    # No common words, among usual characters; unusual characters, among usual words.
+    assert not got[100].kept and got[100].class_distance <= divergence.MOST_CLASS_DISTANCE
+    assert not got[101].kept and got[101].word_distance < got[100].word_distance / 2
+
+
+def test_word_bound_follows_the_references():
+    # A text without common words is (0, ..., 0, 1); the distance by its definition.
+    q = [0.125, 0.125, 0.75]
+    m = [0.0625, 0.0625, 0.875]
+    kl = lambda a, b: sum(x * math.log2(x / y) for x, y in zip(a, b) if x)
+    whole = math.sqrt((kl([0, 0, 1.0], m) + kl(q, m)) / 2)
+    bound = divergence.word_bound([{"words": q}, {"words": [0.25, 0.25, 0.5]}])
+    assert bound == pytest.approx(max(divergence.WORD_DISTANCE_SHARE * whole, divergence.LEAST_WORD_BOUND))
+    assert divergence.word_bound([{"words": [0.0, 0.0, 1.0]}]) == divergence.LEAST_WORD_BOUND
+    assert divergence.word_bound([{"words": [0.5, 0.5, 0.0]}]) == divergence.WORD_DISTANCE_SHARE
+    assert divergence.word_bound([]) == divergence.LEAST_WORD_BOUND
+
+
 def test_divergence_of_odd_rows(spark):
     rows = docs(spark, ODD_ROWS).withColumn("words", F.lit("clash")).withColumn("kept", F.lit(None))
     rows = rows.withColumn("lang", F.when(F.col("doc_id") > 2, F.col("lang")))
