@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from heronry.llm.batches import LOWER, bounded_batches, map_texts, pieces, utf8
+from heronry.llm.labelled import labelled_sample
 from heronry.session import materialize
 
 # Labelled rows of each class that are learned from; a larger class gives those with the smallest hash
@@ -157,26 +158,6 @@ def document_frequencies(docs: DataFrame, text: str = "text") -> tuple[np.ndarra
     return made, found.get(-1, 0)
 
 
-def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text: str, bound: int
-) -> DataFrame:
-    """(doc_id, label, text) of at most ``bound`` labelled ids of each class. An id with several labels
-    has the largest; null ids and null labels are left out."""
-    known = (
-        labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-    )
-    one, other = (
-        known.where(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-        for c in (F.col("label") > 0, F.col("label") <= 0)
-    )
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # At most 2 * ``bound`` rows of two numbers.
-    return rows.join(F.broadcast(one.unionAll(other)), "doc_id")
-
-
 def _iterate(sample: DataFrame, weights: np.ndarray, directions: np.ndarray) -> np.ndarray:
     """The sample's second moments times ``directions``, summed over the tasks."""
     sent = sample.sparkSession.sparkContext.broadcast((weights, directions))
@@ -248,7 +229,7 @@ def train(
                 [batch.column("doc_id"), batch.column("label"), vectors], names=["doc_id", "label", "v"]
             )
 
-    # At most 2 * ``bound`` ids of DIMENSIONS numbers.
+    # At most 2 * ``bound`` rows of DIMENSIONS numbers.
     rows = (
         sample.mapInArrow(project, "doc_id long, label int, v binary").orderBy("doc_id", "v").toArrow()
     )

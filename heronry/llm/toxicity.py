@@ -1,8 +1,8 @@
 """Toxicity by logistic regression, trained with FTRL-proximal over hashed word n-grams and skip-grams.
 
-A bounded sample of labelled rows is dealt into shards. In each epoch every shard goes on from the common
-state with its own rows, one after another; then the states are averaged coordinate by coordinate. The
-L1 term leaves few weights other than zero, so what the scoring tasks get is small.
+Features are hashed and counted over a bounded sample of labelled rows; the rows then go through the
+learner one after another, several times. State and features have a size that the width of the hash bounds.
+The L1 term leaves few weights other than zero, so what the scoring tasks get is small.
 """
 
 from __future__ import annotations
@@ -17,22 +17,24 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from heronry.llm.batches import WORDS, bounded_batches, map_texts, pieces, utf8
+from heronry.llm.labelled import labelled_sample
 from heronry.session import materialize
 
 # Labelled rows of each class that are learned from; a larger class gives those with the smallest hash
 # of the id.
 MAX_ROWS_PER_CLASS = 8_000
-SHARDS = 4
 EPOCHS = 8
-# A feature is learned if so many rows of one shard have it. Rarer ones could hardly pass the L1 bound.
+# A feature is learned if so many rows of the sample have it.
 MIN_ROWS = 4
+# Bits of a feature's hash: at most 2^24 features, whatever the texts.
+FEATURE_BITS = 24
 ALPHA, BETA, L1, L2 = 4.0, 1.0, 4.0, 0.0
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], np.uint64)
 
 
 def hashes(text: bytes) -> np.ndarray:
-    """32-bit hashes of a text's words, pairs of neighbours, and pairs that skip one or two words."""
+    """Hashes of a text's words, of pairs of neighbours, and of pairs that skip one or two words."""
     words = text.translate(WORDS).split()
     h = np.fromiter(map(crc32, words), np.uint64, len(words)) * _MULTIPLIERS[0]
     made = [h]
@@ -41,7 +43,7 @@ def hashes(text: bytes) -> np.ndarray:
     mixed = np.concatenate(made)
     mixed ^= mixed >> np.uint64(29)
     mixed *= _MULTIPLIERS[1]
-    return (mixed >> np.uint64(32)).astype(np.uint32)
+    return (mixed >> np.uint64(64 - FEATURE_BITS)).astype(np.uint32)
 
 
 @dataclass
@@ -84,76 +86,44 @@ def learn(rows: list[np.ndarray], labels: list[int], z: np.ndarray, n: np.ndarra
         n[places] = ns + g * g
 
 
-def training_rows(
-    docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, text: str, bound: int
-) -> DataFrame:
-    """(doc_id, text, label) of at most ``bound`` labelled ids of each class. An id with several labels
-    has the largest; null ids and null labels are left out."""
-    all_known = (
-        labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("label"))
-        .where(F.col("doc_id").isNotNull() & F.col("label").isNotNull())
-        .groupBy("doc_id")
-        .agg(F.max("label").alias("label"))
-    )
-    one, other = (
-        all_known.where(c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(bound)
-        for c in (F.col("label") > 0, F.col("label") <= 0)
-    )
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    # At most 2 * ``bound`` rows of two numbers.
-    return rows.join(F.broadcast(one.unionAll(other)), "doc_id")
-
-
-def _shard_features(table: pa.Table) -> list[np.ndarray]:
-    return [np.unique(hashes(t)) for t in utf8(table["text"].combine_chunks())]
+def _feature_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(feature, rows): how many rows of each piece have a feature."""
+    for piece in pieces(batches):
+        made = [np.unique(hashes(t)) for t in utf8(piece.column("text"))]
+        found, n = np.unique(np.concatenate(made), return_counts=True)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(found.astype(np.int32)), pa.array(n, pa.int64())], names=["feature", "n"]
+        )
 
 
-def _frequent(table: pa.Table) -> pa.Table:
-    """The features that at least ``MIN_ROWS`` rows of a shard have."""
-    found, n = np.unique(np.concatenate(_shard_features(table)), return_counts=True)
-    return pa.table({"features": pa.array([found[n >= MIN_ROWS].astype("<u4").tobytes()], pa.binary())})
+def _places(vocabulary: Broadcast) -> Callable[[pa.RecordBatch], dict[str, object]]:
+    """The places of a text's features in the state, as bytes; place 0 is the bias."""
 
+    def places(text: bytes) -> bytes:
+        known, found = vocabulary.value, np.unique(hashes(text))
+        at = np.searchsorted(known, found)
+        at = at[known[np.minimum(at, len(known) - 1)] == found] if len(known) else at[:0]
+        return np.concatenate([[0], at + 1]).astype("<i4").tobytes()
 
-def _packed(vocabulary: Broadcast) -> Callable[[pa.Table], pa.Table]:
-    """A shard's rows as one, in the order of the ids: the places of their features in the vocabulary, all
-    rows in a row; lengths; labels."""
-
-    def run(table: pa.Table) -> pa.Table:
-        known = vocabulary.value
-        table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-        places = []
-        for found in _shard_features(table):
-            at = np.searchsorted(known, found)
-            places.append(at[known[np.minimum(at, len(known) - 1)] == found] if len(known) else at[:0])
-        parts = {
-            "places": np.concatenate(places).astype("<i4"),
-            "lengths": np.array([len(p) for p in places], "<i4"),
-            "labels": table["label"].to_numpy().astype("<i4"),
-        }
-        return pa.table({k: pa.array([v.tobytes()], pa.binary()) for k, v in parts.items()})
-
-    return run
+    return lambda piece: {"places": pa.array(map(places, utf8(piece.column("text"))), pa.binary())}
 
 
 def _epoch(state: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One pass over each packed shard: by how much it moves which coordinates of ``state``."""
+    """One pass over all rows, as they come: the coordinates that it moved and their new state."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z0, n0 = state.value
+        z, n = (part.copy() for part in state.value)
+        moved = np.zeros(len(z), bool)
         for batch in batches:
-            for row in batch.to_pylist():
-                z, n = z0.astype(float), n0.astype(float)
-                # Place 0 of the state is the bias.
-                places = np.frombuffer(row["places"], "<i4") + 1
-                ends = np.cumsum(np.frombuffer(row["lengths"], "<i4"))[:-1]
-                rows = [np.concatenate([[0], p]) for p in np.split(places, ends)]
-                learn(rows, np.frombuffer(row["labels"], "<i4").tolist(), z, n)
-                moved = np.flatnonzero(n != n0)
-                changes = ((z - z0)[moved].astype("<f4"), (n - n0)[moved].astype("<f4"))
-                parts = (moved.astype("<i4"), *changes)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p.tobytes()], pa.binary()) for p in parts], names=["at", "dz", "dn"]
-                )
+            rows = [np.frombuffer(p, "<i4") for p in batch.column("places").to_pylist()]
+            learn(rows, batch.column("label").to_pylist(), z, n)
+            for places in rows:
+                moved[places] = True
+        at = np.flatnonzero(moved)
+        parts = (at.astype("<i4"), z[at], n[at])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([p.tobytes()], pa.binary()) for p in parts], names=["at", "z", "n"]
+        )
 
     return run
 
@@ -168,43 +138,42 @@ def train(
 ) -> Model:
     """A model of ``label_col`` from at most ``bound`` labelled ids of each class in ``labels``.
 
-    Texts are the only input. Scores are probabilities under the mix of classes in the sample. Without
-    labelled rows the model gives 0 to every text.
+    Texts are the only input. Of the rows of an id one is learned from (see ``labelled_sample``). Features that
+    fewer than ``MIN_ROWS`` rows of the sample have are left out. Rows are learned in the order of the ids'
+    hashes, so the model does not depend on how the tables are split. Scores are probabilities under the mix
+    of classes in the sample. Without labelled rows the model gives 0 to every text.
     """
     spark = docs.sparkSession
-    shard = F.pmod(F.xxhash64("doc_id", F.lit("shard")), F.lit(SHARDS)).cast("int")
     sample = materialize(
-        training_rows(docs, labels, label_col, id_col, text, bound)
-        .withColumn("shard", shard)
-        .repartition(SHARDS, "shard"),
-        "training-rows",
+        labelled_sample(docs, labels, label_col, id_col, text, bound), "training-rows"
     )
-    shards = sample.repartition(SHARDS, "shard").groupBy("shard")
-    # One row for each shard, of a size that the bounded sample bounds.
-    frequent = shards.applyInArrow(_frequent, "features binary").toLocalIterator()
-    found = [np.frombuffer(row["features"], "<u4") for row in frequent]
-    if not found:
+    if sample.isEmpty():
         return Model(np.zeros(0, np.uint32), np.zeros(0, np.float32), -np.inf)
-    features = np.unique(np.concatenate(found))
+    counted = bounded_batches(sample).select("text").mapInArrow(_feature_rows, "feature int, n long")
+    frequent = counted.groupBy("feature").agg(F.sum("n").alias("n")).where(F.col("n") >= MIN_ROWS)
+    # At most 2^FEATURE_BITS integers.
+    found = frequent.select("feature").toArrow().column("feature").to_numpy()
+    features = np.sort(found).astype(np.uint32)
+    sent = spark.sparkContext.broadcast(features)
     packed = materialize(
-        shards.applyInArrow(
-            _packed(spark.sparkContext.broadcast(features)),
-            "places binary, lengths binary, labels binary",
+        map_texts(
+            sample.withColumn("turn", F.xxhash64("doc_id")),
+            _places(sent),
+            ["turn", "label"],
+            "turn long, label int, places binary",
         ),
         "training",
     )
+    # At most 2 * ``bound`` rows, one after another, as the method has it; none is held longer than its batch.
+    ordered = packed.coalesce(1).sortWithinPartitions("turn", "places", "label")
     z, n = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
     for _ in range(EPOCHS):
-        state = spark.sparkContext.broadcast((z.astype(np.float32), n.astype(np.float32)))
-        dz, dn, times = np.zeros(len(z)), np.zeros(len(z)), np.zeros(len(z))
-        for row in packed.mapInArrow(_epoch(state), "at binary, dz binary, dn binary").toLocalIterator(True):
-            at = np.frombuffer(row["at"], "<i4")
-            dz[at] += np.frombuffer(row["dz"], "<f4")
-            dn[at] += np.frombuffer(row["dn"], "<f4")
-            times[at] += 1
-        z = z + dz / np.maximum(times, 1)
-        n = n + dn / np.maximum(times, 1)
+        state = spark.sparkContext.broadcast((z, n))
+        row = ordered.mapInArrow(_epoch(state), "at binary, z binary, n binary").first()
+        at = np.frombuffer(row["at"], "<i4")
+        z[at], n[at] = np.frombuffer(row["z"]), np.frombuffer(row["n"])
         state.destroy()
+    sent.destroy()
     l1 = np.full(len(z), L1)
     l1[0] = 0
     w = _weights(z, n, l1)
@@ -226,7 +195,9 @@ def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "t
 
 
 def drop_toxic(docs: DataFrame, model: Model, text: str = "text", bound: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` that score below ``bound``, with all columns, whatever their names."""
+    """The rows of ``docs`` that score below ``bound``, with all columns, whatever their names. A null text
+    counts as empty and has the score of a text without words; repeated rows are judged alike; an empty
+    table gives no rows."""
     sent = docs.sparkSession.sparkContext.broadcast(model.parts())
 
     def run(batches):

@@ -1,5 +1,6 @@
 """BPE, pseudonyms, licences, divergence, classifiers: small cases and brute force."""
 
+import collections
 import hashlib
 import math
 import random
@@ -13,7 +14,7 @@ import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
-from heronry.llm import bpe, divergence, licences, neighbours, pseudonyms, queries, toxicity
+from heronry.llm import bpe, divergence, labelled, licences, neighbours, pseudonyms, queries, toxicity
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 PATH = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -401,6 +402,8 @@ def test_divergence_has_no_python(spark, sf_dir):
 
 # --- classifiers
 
+LABELS = "doc_id long, quality int, toxic int"
+
 
 def test_ftrl_step():
     """One row, by hand: from nothing p = 1/2, so each coordinate has gradient -1/2."""
@@ -411,6 +414,54 @@ def test_ftrl_step():
     assert w[1] == 0 and w[0] == pytest.approx(2 / (3 / toxicity.ALPHA + toxicity.L2))
 
 
+def brute_ftrl(rows):
+    """Weights by feature of (features, label) rows, one coordinate at a time."""
+    count = collections.Counter(f for found, _ in rows for f in found)
+    z, n = collections.defaultdict(float), collections.defaultdict(float)
+
+    def weight(f):
+        bound = 0 if f == "bias" else toxicity.L1
+        if abs(z[f]) <= bound:
+            return 0.0
+        rate = (toxicity.BETA + math.sqrt(n[f])) / toxicity.ALPHA + toxicity.L2
+        return (math.copysign(bound, z[f]) - z[f]) / rate
+
+    rows = [(["bias", *(f for f in found if count[f] >= toxicity.MIN_ROWS)], y) for found, y in rows]
+    for _ in range(toxicity.EPOCHS):
+        for found, y in rows:
+            w = {f: weight(f) for f in found}
+            g = 1 / (1 + math.exp(-sum(w.values()))) - y
+            for f in found:
+                z[f] += g - (math.sqrt(n[f] + g * g) - math.sqrt(n[f])) / toxicity.ALPHA * w[f]
+                n[f] += g * g
+    return {f: weight(f) for f in z if weight(f)}
+
+
+def test_toxicity_training_by_brute_force(spark):
+    """On sf0.01: the weights, whatever the split of the tables, and no miss or false alarm on what was learned."""
+    table = queries.table(spark, "/root/testdata/sf0.01", "documents")
+    known = queries.table(spark, "/root/testdata/sf0.01", "labels").where(queries.fold(5) != 0)
+    sample = table.join(known.where("toxic IS NOT NULL"), "doc_id").withColumn("turn", F.xxhash64("doc_id"))
+    sample = sample.select("turn", "doc_id", "toxic", F.coalesce("text", F.lit("")).alias("text")).orderBy("turn")
+    rows = [(set(toxicity.hashes(r.text.encode()).tolist()), int(r.toxic), r.text) for r in sample.collect()]
+    want = brute_ftrl([r[:2] for r in rows])
+    for split in (table, table.repartition(7)):
+        model = toxicity.train(split, known)
+        assert model.bias == pytest.approx(want["bias"], rel=1e-6)
+        assert model.hashes.tolist() == sorted(f for f in want if f != "bias")
+        assert model.weights.tolist() == pytest.approx([want[f] for f in model.hashes.tolist()], rel=1e-4)
+    assert all((model.score(t.encode()) >= 0.5) == bool(y) for _, y, t in rows)
+
+
+def test_one_row_of_a_repeated_id_is_learned(spark):
+    rows = docs(spark, [*[(1, "a long text of id one")] * 40, (1, "a"), (1, None), (2, None), (3, "other")])
+    labels = spark.createDataFrame([(i, 1, 0) for i in (1, 2, 3, 4)] + [(3, 1, 1)], LABELS)
+    got = labelled.labelled_sample(rows, labels, "toxic", "doc_id", "text", 2).collect()
+    kept = {(r.doc_id, r.label, r.text) for r in got}
+    assert len(got) == len(kept) and kept <= {(1, 0, "a"), (2, 0, None), (3, 1, "other")}
+    assert (3, 1, "other") in kept
+
+
 def held_out(spark, sf_dir, query, label):
     labels = queries.table(spark, sf_dir, "labels").select("doc_id", F.col(label).alias("y"))
     rows = query(spark, sf_dir).join(labels, "doc_id").where("held_out").collect()
@@ -435,9 +486,6 @@ def test_folds(spark):
     assert row.f == zlib.crc32(b"12345") % 5
 
 
-LABELS = "doc_id long, quality int, toxic int"
-
-
 def test_classifiers_of_odd_rows(spark):
     rows = docs(spark, [*ODD_ROWS, (5, "vile words here"), (6, "fine words here")])
     rows = rows.withColumn("score", F.lit("clash")).withColumn("label", F.lit(1))
