@@ -83,7 +83,7 @@ def op4_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(
         table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
-    ).select("doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
+    )
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,12 +159,12 @@ WITH doc AS (
       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents
 ), item AS (
-  SELECT CAST(item_id AS VARCHAR) AS item,
+  SELECT row_number() OVER () AS t, CAST(item_id AS VARCHAR) AS item,
     regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
       'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM benchmark
 ), win AS (
-  SELECT DISTINCT item, least(len(w), 10) AS n,
+  SELECT t, item, i AS place_in, least(len(w), 10) AS n,
     array_to_string(list_slice(w, i, i + least(len(w), 10) - 1), ' ') AS s
   FROM item, unnest(generate_series(1, greatest(len(w) - 9, 1))) AS g(i)
   WHERE len(w) > 0
@@ -172,7 +172,7 @@ WITH doc AS (
   SELECT r, n, i, array_to_string(list_slice(w, i, i + n - 1), ' ') AS s
   FROM doc, (SELECT DISTINCT n FROM win), unnest(generate_series(1, len(w) - n + 1)) AS g(i)
 ), occurs AS (
-  SELECT p.r, p.i, p.n, win.item FROM place p JOIN win ON p.s = win.s AND p.n = win.n
+  SELECT p.r, p.i, p.n, win.item, win.t, win.place_in FROM place p JOIN win ON p.s = win.s AND p.n = win.n
 ), hit AS (
   SELECT r, count(DISTINCT k) AS n_hit
   FROM (SELECT DISTINCT r, i, n FROM occurs), unnest(generate_series(i, i + n - 1)) AS g(k)
@@ -180,11 +180,18 @@ WITH doc AS (
 ), items AS (
   SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS sha
   FROM (SELECT DISTINCT r, item FROM occurs) GROUP BY r
+), run AS (
+  SELECT r, item, min(i) AS i, count(*) - 1 + max(n) AS n
+  FROM (SELECT *, i - row_number() OVER (PARTITION BY r, t, i - place_in ORDER BY i) AS same FROM occurs)
+  GROUP BY r, item, t, i - place_in, same
+), longest AS (
+  SELECT r, item, i, n FROM run QUALIFY row_number() OVER (PARTITION BY r ORDER BY n DESC, i, item) = 1
 )
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
   CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, coalesce(sha, sha256('')) AS items_sha256,
-  coalesce(n_hit, 0) > 0 AS contaminated
-FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r)
+  coalesce(n_hit, 0) > 0 AS contaminated, CAST(coalesce(n, 0) AS BIGINT) AS longest_words,
+  item AS longest_item, CAST(i - 1 AS BIGINT) AS longest_at
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN items USING (r) LEFT JOIN longest USING (r)
 """
 
 LICENCES_SQL = r"""

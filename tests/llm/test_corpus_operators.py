@@ -1,6 +1,7 @@
 """SimHash, decontamination, shards, WARC and the pipeline: small cases and brute force."""
 
 import hashlib
+import itertools
 import random
 import re
 
@@ -173,6 +174,51 @@ def brute_hits(text, items, width=10):
     return len(words), len(hit), sorted(names)
 
 
+def brute_longest(text, items, width=10):
+    """Words, item and place of the longest run of words that an item has too and that begins with a window."""
+    words_of = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOWER))
+    words, best = words_of(text), (0, None, None)
+    for name, item in sorted(items):
+        w = words_of(item)
+        least = min(width, len(w))
+        for at, i in itertools.product(range(len(words)), range(len(w))):
+            n = 0
+            while at + n < len(words) and i + n < len(w) and words[at + n] == w[i + n]:
+                n += 1
+            if n >= least and (n > best[0] or n == best[0] and at < best[2]):
+                best = (n, name, at)
+    return best
+
+
+def test_longest_match_over_shared_and_repeated_passages(spark, monkeypatch):
+    """Items that share passages, hold one twice, or are the same; documents that go from one into another."""
+    word = [f"w{i}" for i in range(200)]
+    shared = word[:15]
+    items = [
+        ("a", [*shared, *word[20:23]]),
+        ("b", [*word[30:40], *shared, *word[40:50]]),
+        ("c", [*shared, *shared, *word[60:70], *shared]),
+        ("d", [*word[30:40], *shared, *word[40:50]]),
+        ("e", word[100:104]),
+        ("f", [*word[90:110]]),
+        ("b", [*word[150:162]]),
+    ]
+    items = [(name, " ".join(w)) for name, w in items]
+    pick = random.Random(3)
+    few = ["x", "y"]
+    items += [(f"r{k}", " ".join(pick.choices(few, k=40))) for k in range(4)]
+    texts = [items[1][1], "zz " + items[2][1] + " " + items[0][1], " ".join(shared[3:] + word[20:30])]
+    texts += [" ".join(word[k : k + 30]) for k in range(0, 180, 7)] + ["w100 w101 w102 w103", "w95 w96"]
+    texts += [" ".join(pick.choices(few, k=60)) for _ in range(10)] + [items[9][1] * 2, None, ""]
+    benchmark = spark.createDataFrame(items, "item_id string, text string")
+    want = {i: brute_longest(t, items) for i, t in enumerate(texts)}
+    assert want[0] == (35, "b", 0)
+    for block in (decontaminate.BLOCK_BYTES, 200):
+        monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block)
+        got = decontaminate.contamination(docs(spark, list(enumerate(texts))), benchmark).collect()
+        assert {r.doc_id: (r.longest_words, r.longest_item, r.longest_at) for r in got} == want
+
+
 def test_contamination_by_brute_force(spark, monkeypatch):
     pick = random.Random(8)
     vocabulary = ["ab", "Cd", "é", "x1", "yy"]
