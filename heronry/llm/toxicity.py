@@ -7,8 +7,9 @@ The L1 term leaves few weights other than zero, so what the scoring tasks get is
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
+from functools import reduce
 from zlib import crc32
 
 import numpy as np
@@ -73,7 +74,7 @@ def _weights(z: np.ndarray, n: np.ndarray, l1: np.ndarray) -> np.ndarray:
     )
 
 
-def learn(rows: list[np.ndarray], labels: list[int], z: np.ndarray, n: np.ndarray) -> None:
+def learn(rows: Iterable[np.ndarray], labels: list[int], z: np.ndarray, n: np.ndarray) -> None:
     """One pass over ``rows`` (places of the features in the state), changing ``z`` and ``n``. Place 0 is
     the bias, which has no L1 term."""
     for places, label in zip(rows, labels):
@@ -108,21 +109,20 @@ def _places(vocabulary: Broadcast) -> Callable[[pa.RecordBatch], dict[str, objec
     return lambda piece: {"places": pa.array(map(places, utf8(piece.column("text"))), pa.binary())}
 
 
-def _epoch(state: Broadcast) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """One pass over all rows, as they come: the coordinates that it moved and their new state."""
+def _learned(features: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """All rows learned as they come: the places of the weights other than zero, and these weights."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        z, n = (part.copy() for part in state.value)
-        moved = np.zeros(len(z), bool)
+        z, n = np.zeros(features + 1), np.zeros(features + 1)
         for batch in batches:
-            rows = [np.frombuffer(p, "<i4") for p in batch.column("places").to_pylist()]
+            rows = (np.frombuffer(p.as_py(), "<i4") for p in batch.column("places"))
             learn(rows, batch.column("label").to_pylist(), z, n)
-            for places in rows:
-                moved[places] = True
-        at = np.flatnonzero(moved)
-        parts = (at.astype("<i4"), z[at], n[at])
+        l1 = np.full(len(z), L1)
+        l1[0] = 0
+        w = _weights(z, n, l1)
+        used = np.flatnonzero(w)
         yield pa.RecordBatch.from_arrays(
-            [pa.array([p.tobytes()], pa.binary()) for p in parts], names=["at", "z", "n"]
+            [pa.array(used.astype(np.int32)), pa.array(w[used])], names=["at", "w"]
         )
 
     return run
@@ -164,21 +164,16 @@ def train(
         ),
         "training",
     )
-    # At most 2 * ``bound`` rows, one after another, as the method has it; none is held longer than its batch.
+    # At most 2 * ``bound`` rows, one after another, as the method has it. The epochs are the same rows again:
+    # none is held longer than its batch, and only weights come to the driver.
     ordered = packed.coalesce(1).sortWithinPartitions("turn", "places", "label")
-    z, n = np.zeros(len(features) + 1), np.zeros(len(features) + 1)
-    for _ in range(EPOCHS):
-        state = spark.sparkContext.broadcast((z, n))
-        row = ordered.mapInArrow(_epoch(state), "at binary, z binary, n binary").first()
-        at = np.frombuffer(row["at"], "<i4")
-        z[at], n[at] = np.frombuffer(row["z"]), np.frombuffer(row["n"])
-        state.destroy()
+    epochs = reduce(DataFrame.unionAll, [ordered.select("label", "places")] * EPOCHS).coalesce(1)
+    learned = bounded_batches(epochs).mapInArrow(_learned(len(features)), "at int, w double").toArrow()
     sent.destroy()
-    l1 = np.full(len(z), L1)
-    l1[0] = 0
-    w = _weights(z, n, l1)
-    used = np.flatnonzero(w[1:])
-    return Model(features[used], w[1:][used].astype(np.float32), float(w[0]))
+    at, w = learned.column("at").to_numpy(), learned.column("w").to_numpy()
+    used = at > 0
+    bias = float(w[~used].sum())
+    return Model(features[at[used] - 1], w[used].astype(np.float32), bias)
 
 
 def scored(docs: DataFrame, model: Model, id_col: str = "doc_id", text: str = "text") -> DataFrame:
