@@ -19,18 +19,53 @@ def merge_additive(
     newest_by: str,
     keep_newest: bool = True,
     scale: int = METRIC_SCALE,
+    keep_unknown: bool = False,
 ) -> DataFrame:
     """Add a batch of metrics to a keyed table.
 
     Keys in both: counters are added (an unknown counter counts as 0; doubles as by
     :func:`heronry.functions.numbers.exact_sum`) and recency columns replaced. Keys only in the batch are
-    inserted. With ``keep_newest`` the recency columns of the side with the later ``newest_by`` win, so a
+    inserted. With ``keep_unknown`` a counter that neither side knows stays unknown, as the sum over all
+    rows behind both sides would be; without it, it is 0. With ``keep_newest`` the recency columns of the side with the later ``newest_by`` win, so a
     late batch does not set the clock back; of equal ones, the side with the larger recency columns, so
     the order of the arguments does not matter. Without it the batch always wins. All recency columns of
     a key come from one side.
 
     A union and one aggregation do it in one shuffle, and partial sums absorb hot keys.
     """
+    both, measures = _measures(table, batch, key, counters, recency, newest_by, keep_newest, scale, keep_unknown)
+    return _flat(both.groupBy(key).agg(*measures), key, counters, recency)
+
+
+def merge_unkeyed(
+    table: DataFrame,
+    batch: DataFrame,
+    key: str,
+    counters: list[str],
+    recency: list[str],
+    newest_by: str,
+    scale: int = METRIC_SCALE,
+    keep_unknown: bool = False,
+) -> DataFrame:
+    """The row that :func:`merge_additive` gives for the rows without a key, none where there are none. It needs
+    no shuffle by key."""
+    unkeyed = [df.where(F.col(key).isNull()) for df in (table, batch)]
+    both, measures = _measures(*unkeyed, key, counters, recency, newest_by, True, scale, keep_unknown)
+    found = both.agg(F.max(key).alias(key), *measures, F.count("*").alias("__rows")).where("__rows > 0")
+    return _flat(found, key, counters, recency)
+
+
+def _measures(
+    table: DataFrame,
+    batch: DataFrame,
+    key: str,
+    counters: list[str],
+    recency: list[str],
+    newest_by: str,
+    keep_newest: bool,
+    scale: int,
+    keep_unknown: bool,
+) -> tuple[DataFrame, list[Column]]:
     columns = [key, *counters, *recency]
     both = table.select(*columns, F.lit(0).alias("__batch")).unionByName(
         batch.select(*columns, F.lit(1).alias("__batch"))
@@ -40,15 +75,15 @@ def merge_additive(
     winner = F.max(F.struct(order.alias("__order"), *[F.col(c) for c in recency])).alias("__winner")
 
     def added(c: str) -> Column:
-        if isinstance(table.schema[c].dataType, T.DoubleType):
-            return F.coalesce(exact_sum(F.col(c), scale), F.lit(0.0)).alias(c)
-        return F.coalesce(F.sum(c), F.lit(0)).cast(table.schema[c].dataType).alias(c)
-
-    return (
-        both.groupBy(key)
-        .agg(*[added(c) for c in counters], winner)
-        .select(key, *counters, *[F.col(f"__winner.{c}").alias(c) for c in recency])
-    )
+        kind = table.schema[c].dataType
+        total = exact_sum(F.col(c), scale) if isinstance(kind, T.DoubleType) else F.sum(c)
+        return (total if keep_unknown else F.coalesce(total, F.lit(0))).cast(kind).alias(c)
+
+    return both, [*[added(c) for c in counters], winner]
+
+
+def _flat(merged: DataFrame, key: str, counters: list[str], recency: list[str]) -> DataFrame:
+    return merged.select(key, *counters, *[F.col(f"__winner.{c}").alias(c) for c in recency])
 
 
 def apply_changes(

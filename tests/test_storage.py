@@ -216,6 +216,36 @@ def test_no_row_is_lost_at_a_null(spark, sf_dir, tmp_path):
         assert lines == count("lineitem"), name
 
 
+def _without_discounts(spark, sf_dir, tmp_path):
+    """The given orders and lines; no line of every third customer has a discount, and every seventh order
+    has no customer."""
+    orders, lines = (spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in ("orders", "lineitem"))
+    orders = orders.withColumn("o_custkey", F.when(F.col("o_orderkey") % 7 != 0, F.col("o_custkey")))
+    plain = orders.where("o_custkey % 3 = 0").select(F.col("o_orderkey").alias("l_orderkey"), F.lit(0.0).alias("none"))
+    lines = lines.join(plain, "l_orderkey", "left").withColumn("l_discount", F.coalesce("none", "l_discount"))
+    orders.coalesce(1).write.parquet(f"{tmp_path}/orders.parquet")
+    lines.drop("none").coalesce(1).write.parquet(f"{tmp_path}/lineitem.parquet")
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["keyed_merge_additive"])
+def test_merged_periods_are_the_metrics_of_all(spark, sf_dir, tmp_path, name):
+    """A customer without any discount on record has unknown discounts after a merge as well; lines without a
+    customer are one row."""
+    import duckdb
+
+    from heronry.plans import all_oracles, all_queries
+    from tests.compare import oracle_rows, spark_rows
+
+    odd, con = _without_discounts(spark, sf_dir, tmp_path), duckdb.connect()
+    for table in ("orders", "lineitem"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{odd}/{table}.parquet/*.parquet'")
+    got = spark_rows(all_queries()[name](spark, odd))
+    assert got == oracle_rows(con, all_oracles()[name])
+    at = sorted(all_queries()[name](spark, odd).columns).index("total_discounts_received")
+    assert any(row[at] is None for row in got)
+
+
 def test_reports_follow_the_tables(spark, sf_dir, tmp_path):
     """No stored result or schema outlives a change of the files."""
     import os
