@@ -227,7 +227,7 @@ def merged_in_buckets(spark: SparkSession, sf_dir: str, buckets: int = 16) -> Da
     try:
         bucketed.merge_bucketed(
             spark, stored, merged, newer, "customer_id", COUNTERS, RECENCY, "last_update_time", buckets,
-            fresh_path(spark, "metrics"),
+            fresh_path(spark, "metrics"), keep_unknown=True,
         )
         rows = spark.table(merged)
         rows.schema  # resolved before the names go; the files are external and stay

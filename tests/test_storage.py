@@ -228,7 +228,7 @@ def _without_discounts(spark, sf_dir, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["keyed_merge_additive"])
+@pytest.mark.parametrize("name", ["keyed_merge_additive", "keyed_merge_bucketed"])
 def test_merged_periods_are_the_metrics_of_all(spark, sf_dir, tmp_path, name):
     """A customer without any discount on record has unknown discounts after a merge as well; lines without a
     customer are one row."""
