@@ -8,6 +8,7 @@ expressions are used; texts are read once and never shuffled.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -49,15 +50,11 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lan
         F.coalesce(F.col(text).cast("string"), F.lit("")).alias("text"),
     )
     rows = rows.withColumn("words", F.filter(F.split("text", BLANK), lambda w: w != ""))
-    last = F.size("words") - 3
-    windows = F.when(
-        last >= 0,
-        F.transform(
-            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-            lambda i: F.xxhash64(F.get("words", i), F.get("words", i + 1), F.get("words", i + 2)),
-        ),
-    ).otherwise(F.array().cast("array<bigint>"))
-    rows = rows.withColumn("windows", windows)
+    windows = F.transform(
+        "words", lambda w, i: F.xxhash64(w, F.get("words", i + 1), F.get("words", i + 2))
+    )
+    # The last two words begin no window.
+    rows = rows.withColumn("windows", F.slice(windows, 1, F.greatest(F.size("words") - 2, F.lit(0))))
     placed = F.sort_array(
         F.transform("windows", lambda w, i: F.struct(w.alias("w"), i.alias("i")))
     )
@@ -81,22 +78,25 @@ def base_counts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lan
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike("[^ \\t-\\r]"))
     letters = F.split(F.lower(F.regexp_replace("text", "[^\\p{L}]+", " ")), " ")
     common = F.filter(letters, lambda w: w.isin(WORDS))
+    # One character for each common word, so that each is counted in a short string.
+    marks = {w: chr(ord("!") + i) for i, w in enumerate(WORDS)}
+    mark_of = F.create_map(*[F.lit(x) for pair in marks.items() for x in pair])
     rows = rows.withColumn("lines", lines).withColumn(
-        "common", F.concat(F.lit("|"), F.array_join(common, "||"), F.lit("|"))
+        "common", F.array_join(F.transform(common, lambda w: F.element_at(mark_of, w)), "")
     )
+    # Most characters are lower-case letters. Counting matches makes an array of them, so these are counted by
+    # what is left without them, and the others in that.
+    rows = rows.withColumn("others", F.regexp_replace("text", "\\p{Ll}+", ""))
     count = F.regexp_count
     classes = {
-        "lower": count("text", F.lit("\\p{Ll}")),
-        "upper": count("text", F.lit("\\p{Lu}")),
-        "digit": count("text", F.lit("[0-9]")),
-        "symbol": count("text", F.lit("[#*$%&|<>]")),
+        "lower": F.length("text") - F.length("others"),
+        "upper": count("others", F.lit("\\p{Lu}")),
+        "digit": count("others", F.lit("[0-9]")),
+        "symbol": count("others", F.lit("[#*$%&|<>]")),
     }
-    marked = F.array(*[F.lit(f"|{w}|") for w in WORDS])
     occurrences = F.transform(
-        marked,
-        lambda w: (
-            (F.length("common") - F.length(F.replace("common", w, F.lit("")))) / F.length(w)
-        ).cast("long"),
+        F.array(*map(F.lit, marks.values())),
+        lambda m: (F.octet_length("common") - F.octet_length(F.replace("common", m, F.lit("")))).cast("long"),
     )
     rows = rows.select(
         "doc_id",
@@ -164,13 +164,19 @@ def base_failed() -> Column:
     )
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)``. A lambda evaluates what it uses from outside anew for each element, but not its argument."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def distance(p: Column, q: Column) -> Column:
     """The Jensen-Shannon distance of two histograms: the root of the divergence in bits, 0 to 1."""
 
     def part(a: Column, b: Column) -> Column:
         return F.when(a > 0, a * F.log2(2 * a / (a + b))).otherwise(F.lit(0.0))
 
-    both = F.zip_with(p, q, lambda a, b: part(a, b) + part(b, a))
+    # Where a text has nothing, the second part is b itself: the logarithm is 1.
+    both = F.zip_with(p, q, lambda a, b: F.when(a > 0, part(a, b) + part(b, a)).otherwise(b))
     total = F.aggregate(both, F.lit(0.0), lambda a, b: a + b)
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
@@ -208,8 +214,13 @@ def judged(docs: DataFrame, id_col: str = "doc_id", text: str = "text", lang: st
             return F.lit(0.0)
         each = F.array(*[F.array(*map(F.lit, of[name])) for of in known])
         total = F.greatest(F.aggregate(name, F.lit(0).cast("long"), lambda a, b: a + b), F.lit(1))
-        shares = F.transform(name, lambda n: n / total)
-        return F.array_min(F.transform(each, lambda q: distance(shares, q)))
+        return once(
+            total,
+            lambda t: once(
+                F.transform(name, lambda n: n / t),
+                lambda shares: F.array_min(F.transform(each, lambda q: distance(shares, q))),
+            ),
+        )
 
     rows = counts.withColumn("class_distance", nearest("classes")).withColumn(
         "word_distance", nearest("words")

@@ -6,6 +6,7 @@ import math
 import random
 import re
 from datetime import date, timedelta
+import unicodedata
 import zlib
 
 import numpy as np
@@ -533,3 +534,22 @@ def test_tied_voters_all_vote():
         got = neighbours.Voters(space, vectors[mixed], labels[mixed]).scores([*texts, b""])
         assert np.allclose(got, want, rtol=0, atol=1e-6)
     assert np.allclose(want, [0.25, 0.25, 0.5, 20 / 60], rtol=0, atol=1e-6)
+
+
+# --- cost of the histograms
+
+
+def test_lower_case_letters_are_not_matched_one_by_one(spark):
+    """The letters are counted by what is left without them; totals are no part of what is done for each bin."""
+    texts = ["", "aB9|x", "\U0001d41a\U0001d400 \u0130stanbul \u01c5 \u00df 1\u0663", "der die|der $ DIE"]
+    docs = spark.createDataFrame([(i, "de", t) for i, t in enumerate(texts)], "doc_id long, lang string, text string")
+    counts = divergence.base_counts(docs)
+    got = {r["doc_id"]: r["classes"][:4] for r in counts.collect()}
+    kinds = [lambda c: unicodedata.category(c) == "Ll", lambda c: unicodedata.category(c) == "Lu"]
+    kinds += [lambda c: c in "0123456789", lambda c: c in "#*$%&|<>"]
+    assert got == {i: [sum(map(k, t)) for k in kinds] for i, t in enumerate(texts)}
+    plan = counts._jdf.queryExecution().optimizedPlan().toString()
+    assert "regexp_extract_all(text" not in plan and "others" in plan
+    one = spark.createDataFrame([([1, 3],)], "n array<long>")
+    shares = divergence.once(F.aggregate("n", F.lit(0).cast("long"), lambda a, b: a + b), lambda t: F.transform("n", lambda n: n / t))
+    assert one.select(shares.alias("s")).first()["s"] == [0.25, 0.75]
