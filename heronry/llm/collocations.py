@@ -332,14 +332,15 @@ def multikey_counts(
 
     A stack holds partitions of pointers that agree in their first words. Each is split by the next word into
     smaller, equal and greater than the median of three; the equal ones go on with the word after. Partitions
-    that cannot reach ``least`` are abandoned, except before ``depth`` words: there other buckets have
-    suffixes with the same leading words, so every count is given.
+    that cannot reach ``least`` are abandoned, except where phrases of fewer than ``depth`` words are counted:
+    other buckets have suffixes with the same leading words, so every count of those is given. A single word is
+    no phrase, so with a ``depth`` of two nothing is excepted.
     """
     single = bool((weights == 1).all())
     stack = [(np.arange(len(weights)), 0)]
     while stack:
         pointers, at = stack.pop()
-        needed = least if at + 1 >= depth else 1
+        needed = least if max(at + 1, 2) >= depth else 1
         keys = columns[at][pointers]
         n = len(keys)
         pivot = sorted((int(keys[0]), int(keys[n // 2]), int(keys[-1])))[1]

@@ -193,6 +193,24 @@ def test_multikey_counts_are_those_of_a_dictionary():
         assert got == {k: n for k, n in want.items() if n >= (least if len(k) >= depth else 1)}
 
 
+def test_first_words_with_few_suffixes_are_abandoned():
+    """All suffixes with the same two words are in the bucket, so a first word with too few of them is not split."""
+
+    class Columns(list):
+        read = 0
+
+        def __getitem__(self, at):
+            self.read += 1
+            return super().__getitem__(at)
+
+    rows = np.ones((1060, 4), np.int32)
+    rows[60:, 0] = np.arange(2, 1002)
+    columns = Columns(rows.T)
+    made = sorted(collocations.multikey_counts(columns, np.ones(len(rows), np.int64), 30, 2))
+    assert [(size, n) for _, size, n in made] == [(2, 60), (3, 60), (4, 60)]
+    assert columns.read < 300
+
+
 # --- spelling variants
 
 
