@@ -1,5 +1,10 @@
 """Totals that leave a stream on change or on crossing, start positions, payloads without a declared schema."""
 
+import itertools
+import zlib
+from datetime import date, datetime
+from decimal import Decimal
+
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -69,6 +74,95 @@ def test_a_hot_key_is_one_row_of_a_batch():
     ]
 
 
+def test_a_hot_key_is_few_rows_of_a_task():
+    """A key is one row of many Arrow batches; where most keys are new, sums go on before the task ends."""
+    batch = lambda keys: pa.table(
+        {"key": keys, "units": [1] * len(keys), "rest": [0.0] * len(keys)}
+    ).to_batches()[0]
+    made = [r for b in crossing.presummed(batch(["a", "b", None]) for _ in range(50)) for r in b.to_pylist()]
+    assert sorted(((r["key"], r["units"]) for r in made), key=str) == [("a", 50), ("b", 50), (None, 50)]
+    step = crossing.HELD // 8
+    sent = [b.num_rows for b in crossing.presummed(batch(range(n * step, (n + 1) * step)) for n in range(20))]
+    assert sum(sent) == 20 * step and max(sent) <= crossing.HELD
+
+
+def test_many_keys_are_few_calls(spark):
+    """State and calls of Python go by bucket, so a batch of 20,000 keys does not make as many calls."""
+    root, held = fresh_path(spark, "crossing-many"), []
+    for amount in ("cast(id as double)", "-0.5D"):
+        rows = spark.range(20000).select(F.col("id").alias("key"), F.expr(amount).alias("amount"))
+        rows.repartition(3).write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landed")
+        crossed = crossing.crossings(stream, "key", "amount", 15000.0)
+        run = runs.finish(runs.to_batches(crossed, jobs.changes_to(f"{root}/out"), f"{root}/progress", "update"))
+        held.append(run.recentProgress[0]["stateOperators"][0]["numRowsTotal"])
+    out = jobs.stored_rows(spark, f"{root}/out")
+    want = [(k, float(k), True, 0) for k in range(15001, 20000)]
+    assert out.count() == len(want) and set(map(tuple, out.where("batch_id = 0").collect())) == set(want)
+    assert max(held) <= crossing.BUCKETS
+
+
+def same_bucket(count):
+    """Text keys whose totals lie in one bucket."""
+    keys = (f"k{n}" for n in range(100000) if zlib.crc32(f"k{n}".encode()) % crossing.BUCKETS == 7)
+    return list(itertools.islice(keys, count))
+
+
+def test_keys_of_a_bucket_keep_their_own_totals(spark):
+    a, b, c = same_bucket(3)
+    rows = [[(a, 60.0), (b, 99.0), (a, 50.0)], [(b, 1.0), (c, 101.0)], [(a, -10.0), (b, 0.01)], [(c, -1.5)]]
+    got = emitted(spark, rows, lambda s: crossing.crossings(s, "key", "amount", 100.0))
+    want = [(a, 110.0, True, 0), (c, 101.0, True, 1), (a, 100.0, False, 2), (b, 100.01, True, 2), (c, 99.5, False, 3)]
+    assert got == sorted(want, key=str)
+
+
+def test_keys_of_a_bucket_are_forgotten_one_by_one(spark):
+    """An idle key is forgotten though another key of its bucket has rows in every batch."""
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    try:
+        a, b = same_bucket(2)
+        rows = [[(a, 60.0), (b, 1.0)], [(b, 2.0)], [(a, 5.0), (b, 4.0)], [("else", 1.0)], [(a, 7.0), (b, 8.0)]]
+        got = emitted(spark, rows, lambda s: crossing.changed_totals(s, "key", "amount", ttl_ms=1))
+        want = [
+            (a, 60.0, 0), (b, 1.0, 0), (b, 3.0, 1), (a, 5.0, 2), (b, 7.0, 2), ("else", 1.0, 3), (a, 7.0, 4),
+            (b, 8.0, 4),
+        ]
+        assert got == sorted(want, key=str)
+        kept = emitted(spark, rows, lambda s: crossing.changed_totals(s, "key", "amount", ttl_ms=3_600_000))
+        assert [r for r in kept if r[2] == 4] == sorted([(a, 72.0, 4), (b, 15.0, 4)], key=str)
+    finally:
+        spark.conf.unset("spark.sql.streaming.noDataMicroBatches.enabled")
+
+
+def test_a_total_of_nan_stays_nan(spark):
+    rows = [[("a", float("nan")), ("a", 1.005), ("b", 500.0)], [("a", 500.0), ("b", float("nan"))]]
+    got = emitted(spark, rows, lambda s: crossing.changed_totals(s, "key", "amount"))
+    want = [("a", float("nan"), 0), ("b", 500.0, 0), ("a", float("nan"), 1), ("b", float("nan"), 1)]
+    assert list(map(repr, got)) == sorted(map(repr, want))
+    got = emitted(spark, rows, lambda s: crossing.crossings(s, "key", "amount", 100.0))
+    assert list(map(repr, got)) == ["('b', 500.0, True, 0)", "('b', nan, False, 1)"]
+
+
+@pytest.mark.parametrize(
+    "kind, key",
+    [
+        ("bigint", 2**53 + 1), ("double", -0.0), ("date", date(2024, 2, 29)), ("binary", b"\xff\x00"),
+        ("timestamp", datetime(2024, 1, 1, 1, 2, 3, 4)), ("decimal(20,2)", Decimal("123456789012345678.91")),
+    ],
+)
+def test_keys_of_any_type(spark, kind, key):
+    root = fresh_path(spark, "crossing-kinds")
+    for _ in range(2):
+        rows = spark.createDataFrame([(key, 60.0), (None, 1.0)], f"key {kind}, amount double")
+        rows.write.mode("append").parquet(f"{root}/landed")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/landed")
+        made = crossing.changed_totals(stream, "key", "amount")
+        assert made.schema["key"].dataType == rows.schema["key"].dataType
+        runs.finish(runs.to_batches(made, jobs.changes_to(f"{root}/out"), f"{root}/progress", "update"))
+    got = {tuple(r) for r in jobs.stored_rows(spark, f"{root}/out").collect()}
+    assert got == {(key, 60.0, 0), (None, 1.0, 0), (key, 120.0, 1), (None, 2.0, 1)}
+
+
 # --- start positions
 
 
